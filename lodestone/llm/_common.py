@@ -57,3 +57,49 @@ class Memo(dict):
             value = self.make(key)
         self[key] = value
         return value
+
+
+def runs(batches, key: int = 0):
+    """From batches sorted by a column: (value, table) for each run of equal values, across batch borders. Holds one run at a time."""
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    held: list = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        t = pa.Table.from_batches([batch])
+        column = t.column(key).combine_chunks()
+        change = pc.fill_null(pc.not_equal(column[1:], column[:-1]), False) if len(column) > 1 else pa.array([], pa.bool_())
+        cuts = [0, *(i + 1 for i in pc.indices_nonzero(change).to_pylist()), t.num_rows]
+        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+            if held and held[0].column(key)[0] != column[a]:
+                yield held[0].column(key)[0].as_py(), pa.concat_tables(held)
+                held = []
+            held.append(t.slice(a, b - a))
+    if held:
+        yield held[0].column(key)[0].as_py(), pa.concat_tables(held)
+
+
+def components(edges: DataFrame, a: str = "a", b: str = "b", most_rounds: int = 60) -> DataFrame:
+    """(node, component) for every node of an edge table, component the least node reachable: large-star and small-star rounds until nothing moves.
+
+    Each round is a few joins and aggregates on the edges; its result is written to the shared folder. Edges never reach the driver.
+    """
+    x, y = F.col(a), F.col(b)
+    pairs = written(edges.select(F.greatest(x, y).alias("u"), F.least(x, y).alias("v")).where("u <> v").distinct(), "edges")
+    for _ in range(most_rounds):
+        both = pairs.unionAll(pairs.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
+        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).unionAll(least.select("u", F.col("m").alias("v"))).where("u <> v").distinct()
+        new = written(small, "edges")
+        # Done when every node points at a root and roots point nowhere: one edge a node, and no node is both child and parent.
+        settled = new.groupBy("u").agg(F.count(F.lit(1)).alias("n")).where("n > 1").limit(1).count() == 0 and new.join(new.select(F.col("v").alias("u")).distinct(), "u", "left_semi").limit(1).count() == 0
+        pairs = new
+        if settled:
+            break
+    else:
+        raise RuntimeError("components did not settle")
+    return pairs.select(F.col("u").alias("node"), F.col("v").alias("component")).unionAll(pairs.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
