@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, jaccard, mixing, rules, sharding, wavelet
+from . import bpe, factors, jaccard, mixing, rules, sharding, wavelet
 from ._common import table
 
 
@@ -19,6 +19,10 @@ def op2_signature_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.similar(table(spark, sf_dir, "documents"))[0].select("doc_id", "n_shingles", "component_id")
 
 
+def op3_previous_factors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return factors.deduplicated(table(spark, sf_dir, "documents"))
+
+
 def op4_hash_tree_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"), sharding.tree_of(16))
 
@@ -43,5 +47,5 @@ def op10_backtrack_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_decode(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"))
 
 
-QUERIES = {f.__name__: f for f in (op2_signature_trees, op4_hash_tree_shards, op5_poisson_mix, op6_ratio_rules, op7_wavelet_files, op10_backtrack_bpe)}
+QUERIES = {f.__name__: f for f in (op2_signature_trees, op3_previous_factors, op4_hash_tree_shards, op5_poisson_mix, op6_ratio_rules, op7_wavelet_files, op10_backtrack_bpe)}
 ORACLES: dict[str, str] = {}
