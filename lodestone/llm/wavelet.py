@@ -16,6 +16,7 @@ from __future__ import annotations
 import re
 import struct
 import zlib
+from array import array
 from collections.abc import Iterator
 from pathlib import Path
 
@@ -27,6 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ._common import Memo, written
+from .bpe import byte_symbols
 
 MAGIC = b"WVMX0001"
 BLOCK = 512
@@ -171,13 +173,26 @@ class ByteLevelEncoder:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.piece = Memo(self.library, 150_000)
+        self.model, self.symbols = self.tokenizer.model, str.maketrans(dict(enumerate(byte_symbols())))
+        self.piece = Memo(self.merged, 150_000)
         self.first = Memo(self.chunk, 20_000)
-        self.later = Memo(lambda part: self.chunk(" " + part), 250_000)
+        self.later = Memo(self.word, 250_000)
 
     def library(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
+    def merged(self, piece: str) -> bytes:
+        """One pre-token through the library's model."""
+        return array("I", [t.id for t in self.model.tokenize(piece.encode().decode("latin-1").translate(self.symbols))]).tobytes()
+
+    def word(self, part: str) -> bytes:
+        """What stands between two blanks, with the first of them. Letters, or letters and a stop, need no pattern."""
+        if part.isalpha():
+            return self.piece[" " + part]
+        if part[-1:] in {".", ","} and part[:-1].isalpha():
+            return self.piece[" " + part[:-1]] + self.piece[part[-1]]
+        return self.chunk(" " + part)
+
     def chunk(self, text: str) -> bytes:
         if any(x in text for x in self.added):
             return self.library(text)
