@@ -35,9 +35,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def without(text: Column, characters: str, instead: str = "") -> Column:
+    """Replaces each of a few ASCII characters. Spark's replace searches bytes; its translate looks up every character."""
+    for c in characters:
+        text = F.replace(text, F.lit(c), F.lit(instead))
+    return text
+
+
 def words_of(text: Column) -> Column:
     """The words `[^\\x20\\x09-\\x0D]+` of a text; none for null. A single-character split keeps Java off its regex path."""
-    return F.array_remove(F.split(F.translate(F.coalesce(text, F.lit("")), WORD_GAPS, " " * len(WORD_GAPS)), " "), "")
+    return F.array_remove(F.split(without(F.coalesce(text, F.lit("")), WORD_GAPS, " "), " "), "")
 
 
 class Memo(dict):

@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._common import WORD_GAPS, words_of, written
+from ._common import WORD_GAPS, without, words_of, written
 
 BUCKET_BITS = 18
 #: Labelled rows that the target is taken from, at most (the least by hash of doc_id); 8 bytes each when broadcast.
@@ -32,12 +32,18 @@ MOST_REPEATED_PERCENT = 30
 SYMBOLS = "#*$%&|<>"
 
 
-def buckets(words: Column) -> Column:
-    """The buckets of a text's words and of its pairs of neighbouring words."""
-    place = lambda h: F.shiftrightunsigned(h, 64 - BUCKET_BITS).cast("int")
-    left = F.slice(words, F.lit(1), F.greatest(F.size(words) - 1, F.lit(0)))
-    right = F.slice(words, F.lit(2), F.greatest(F.size(words) - 1, F.lit(0)))
-    return F.concat(F.transform(words, lambda w: place(F.xxhash64(w))), F.zip_with(left, right, lambda a, b: place(F.xxhash64(a, b))))
+def word_hashes(words: Column) -> Column:
+    return F.transform(words, lambda w: F.xxhash64(w))
+
+
+def joined(hashes: Column, apart: int) -> Column:
+    """Hashes of runs twice as long: each hash with the one `apart` places on."""
+    n = F.greatest(F.size(hashes) - apart, F.lit(0))
+    return F.zip_with(F.slice(hashes, F.lit(1), n), F.slice(hashes, F.lit(apart + 1), n), lambda a, b: F.xxhash64(a, b))
+
+
+def bucket(h: Column) -> Column:
+    return F.shiftrightunsigned(h, 64 - BUCKET_BITS).cast("int")
 
 
 def ratio_table(docs: DataFrame, trusted: DataFrame, key: str = "doc_id", text: str = "text", most: int = TRUSTED_ROWS) -> DataFrame:
@@ -45,7 +51,8 @@ def ratio_table(docs: DataFrame, trusted: DataFrame, key: str = "doc_id", text:
     ids = trusted.select(F.col(key).cast("long").alias("_id")).where("_id is not null").distinct().orderBy(F.xxhash64("_id"), "_id").limit(most)
     rows = docs.select(F.col(key).cast("long").alias("_key"), words_of(F.col(text)).alias("_words"))
     rows = rows.join(F.broadcast(ids), F.col("_key") == F.col("_id"), "left")
-    grams = rows.select(F.when(F.col("_id").isNotNull(), 1).otherwise(0).alias("t"), F.explode(buckets(F.col("_words"))).alias("b"))
+    rows = rows.select(F.when(F.col("_id").isNotNull(), 1).otherwise(0).alias("t"), word_hashes(F.col("_words")).alias("_one"))
+    grams = rows.select("t", F.explode(F.concat("_one", joined(F.col("_one"), 1))).alias("h")).select("t", bucket(F.col("h")).alias("b"))
     counts = grams.groupBy("b").agg(F.count(F.lit(1)).alias("raw"), F.sum("t").alias("target"))
     n = 1 << BUCKET_BITS
     every = docs.sparkSession.range(0, n, 1, 1).select(F.col("id").cast("int").alias("b"))
@@ -57,24 +64,22 @@ def ratio_table(docs: DataFrame, trusted: DataFrame, key: str = "doc_id", text:
     return written(gathered.select(ratio.alias("ratios")), "ratios")
 
 
-def repeated_words(words: Column) -> Column:
-    """Words inside WINDOW-word runs that occur twice or more in the text. The costly part is done only where two windows are equal."""
-    starts = F.size(words) - (WINDOW - 1)
-    hashes = F.when(starts > 0, F.transform(F.sequence(F.lit(1), F.greatest(starts, F.lit(1))), lambda i: F.xxhash64(F.slice(words, i, F.lit(WINDOW))))).otherwise(F.array().cast("array<bigint>"))
-    return hashes
+def again(hashes: Column) -> Column:
+    """How many entries equal an earlier one."""
+    return F.size(hashes) - F.size(F.array_distinct(hashes))
 
 
 def covered(hashes: Column) -> Column:
     """Words covered by windows whose hash is there again, from the array of all window hashes."""
     ordered = F.sort_array(F.transform(hashes, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
-    again = lambda s: F.flatten(F.zip_with(F.slice(s, F.lit(1), F.size(s) - 1), F.slice(s, F.lit(2), F.size(s) - 1), lambda a, b: F.when(a["h"] == b["h"], F.array(a["i"], b["i"])).otherwise(F.array().cast("array<int>"))))
-    at = F.sort_array(F.array_distinct(again(ordered)))
+    twice = lambda s: F.flatten(F.zip_with(F.slice(s, F.lit(1), F.size(s) - 1), F.slice(s, F.lit(2), F.size(s) - 1), lambda a, b: F.when(a["h"] == b["h"], F.array(a["i"], b["i"])).otherwise(F.array().cast("array<int>"))))
+    at = F.sort_array(F.array_distinct(twice(ordered)))
     walk = F.aggregate(
         at,
         F.struct(F.lit(0).alias("end"), F.lit(0).alias("n")),
         lambda a, p: F.struct((p + WINDOW).alias("end"), (a["n"] + p + WINDOW - F.greatest(p, a["end"])).alias("n")),
     )
-    return F.when(F.size(F.array_distinct(hashes)) < F.size(hashes), walk["n"]).otherwise(0)
+    return F.when(again(hashes) > 0, walk["n"]).otherwise(0)
 
 
 def judged(docs: DataFrame, ratios: DataFrame, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
@@ -82,20 +87,27 @@ def judged(docs: DataFrame, ratios: DataFrame, text: str = "text", threshold: fl
     whole = F.coalesce(F.col(text).cast("string"), F.lit(""))
     blank = " " + WORD_GAPS
     rows = docs.withColumn("_words", words_of(F.col(text).cast("string")))
-    rows = rows.withColumn("_hashes", repeated_words(F.col("_words"))).withColumn("_lines", F.filter(F.split(whole, "\n"), lambda x: F.translate(x, blank, "") != ""))
+    # Windows of 8 words are hashed from pairs of runs of 4, those from pairs of 2. A window that is there twice repeats 7 of its
+    # runs of 2 and 5 of its runs of 4, so a text with fewer repeats needs no longer runs.
+    none = F.array().cast("array<bigint>")
+    rows = rows.withColumn("_one", word_hashes(F.col("_words"))).withColumn("_two", joined(F.col("_one"), 1))
+    rows = rows.withColumn("_four", F.when(again(F.col("_two")) >= WINDOW - 1, joined(F.col("_two"), 2)).otherwise(none))
+    rows = rows.withColumn("_hashes", F.when(again(F.col("_four")) >= WINDOW - 3, joined(F.col("_four"), 4)).otherwise(none))
+    rows = rows.withColumn("_lines", F.filter(F.split(whole, "\n"), lambda x: F.btrim(x, F.lit(blank)) != ""))
+    # The table is used once and right above where it is added, so the two projections become one and no row carries a copy of it.
     rows = rows.withColumn("_ratios", ratios.select("ratios").scalar())
-    score = F.aggregate(buckets(F.col("_words")), F.lit(0.0), lambda a, b: a + F.get(F.col("_ratios"), b))
+    score = F.aggregate(F.concat("_one", "_two"), F.lit(0.0), lambda a, h: a + F.get(F.col("_ratios"), bucket(h)))
     n = F.size("_words")
     rows = rows.withColumns(
         {
             "n_words": n.cast("long"),
-            "word_chars": F.length(F.translate(whole, blank, "")).cast("long"),
-            "n_symbols": (F.length(whole) - F.length(F.translate(whole, SYMBOLS, ""))).cast("long"),
+            "word_chars": F.length(F.array_join("_words", "")).cast("long"),
+            "n_symbols": (F.octet_length(whole) - F.octet_length(without(whole, SYMBOLS))).cast("long"),
             "n_dup_lines": (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long"),
             "n_repeat_words": covered(F.col("_hashes")).cast("long"),
             "score": F.when(n > 0, score / (2 * n - 1)).otherwise(0.0),
         }
-    ).drop("_words", "_hashes", "_lines", "_ratios")
+    ).drop("_words", "_one", "_two", "_four", "_hashes", "_lines", "_ratios")
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED_PERCENT * F.col("n_words"))
     return rows.withColumn("base_failed", failed).withColumn("kept", ~F.col("base_failed") & (F.col("score") >= threshold))
 
