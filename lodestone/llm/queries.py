@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, factors, jaccard, mixing, rules, sharding, wavelet
+from . import bpe, factors, gif, jaccard, mixing, ordinal, rules, sharding, warc, wavelet
 from ._common import table
 
 
@@ -15,6 +15,11 @@ def tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_ordinal_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return ordinal.score(docs, ordinal.train(docs, ordinal.rated(table(spark, sf_dir, "labels"))))
+
+
 def op2_signature_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.similar(table(spark, sf_dir, "documents"))[0].select("doc_id", "n_shingles", "component_id")
 
@@ -43,9 +48,17 @@ def op7_wavelet_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wavelet.read_files(files)
 
 
+def op8_gif_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return gif.features(gif.stored(table(spark, sf_dir, "documents")))
+
+
+def op9_dictionary_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.read_archives(warc.write_archives(table(spark, sf_dir, "pages")))
+
+
 def op10_backtrack_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_decode(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"))
 
 
-QUERIES = {f.__name__: f for f in (op2_signature_trees, op3_previous_factors, op4_hash_tree_shards, op5_poisson_mix, op6_ratio_rules, op7_wavelet_files, op10_backtrack_bpe)}
+QUERIES = {f.__name__: f for f in (op1_ordinal_quality, op2_signature_trees, op3_previous_factors, op4_hash_tree_shards, op5_poisson_mix, op6_ratio_rules, op7_wavelet_files, op8_gif_frames, op9_dictionary_warc, op10_backtrack_bpe)}
 ORACLES: dict[str, str] = {}

@@ -85,29 +85,31 @@ def covered(hashes: Column) -> Column:
 def judged(docs: DataFrame, ratios: DataFrame, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """docs with n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, score, base_failed and kept."""
     whole = F.coalesce(F.col(text).cast("string"), F.lit(""))
-    blank = " " + WORD_GAPS
-    rows = docs.withColumn("_words", words_of(F.col(text).cast("string")))
-    # Windows of 8 words are hashed from pairs of runs of 4, those from pairs of 2. A window that is there twice repeats 7 of its
-    # runs of 2 and 5 of its runs of 4, so a text with fewer repeats needs no longer runs.
-    none = F.array().cast("array<bigint>")
-    rows = rows.withColumn("_one", word_hashes(F.col("_words"))).withColumn("_two", joined(F.col("_one"), 1))
-    rows = rows.withColumn("_four", F.when(again(F.col("_two")) >= WINDOW - 1, joined(F.col("_two"), 2)).otherwise(none))
-    rows = rows.withColumn("_hashes", F.when(again(F.col("_four")) >= WINDOW - 3, joined(F.col("_four"), 4)).otherwise(none))
-    rows = rows.withColumn("_lines", F.filter(F.split(whole, "\n"), lambda x: F.btrim(x, F.lit(blank)) != ""))
+    lines = F.filter(F.split(whole, "\n"), lambda x: F.btrim(x, F.lit(" " + WORD_GAPS)) != "")
+    own = [F.col(c) for c in docs.columns]
+    # One projection a step, and each array left behind as soon as it has been used: a projection copies all arrays it hands on.
+    rows = docs.select(*own, words_of(F.col(text).cast("string")).alias("_words"), lines.alias("_lines"))
+    n = F.size("_words")
+    rows = rows.select(
+        *own,
+        n.cast("long").alias("n_words"),
+        F.length(F.array_join("_words", "")).cast("long").alias("word_chars"),
+        (F.octet_length(whole) - F.octet_length(without(whole, SYMBOLS))).cast("long").alias("n_symbols"),
+        again(F.col("_lines")).cast("long").alias("n_dup_lines"),
+        word_hashes(F.col("_words")).alias("_one"),
+    )
+    counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines"]
+    rows = rows.select(*own, *counts, "_one", joined(F.col("_one"), 1).alias("_two"))
     # The table is used once and right above where it is added, so the two projections become one and no row carries a copy of it.
     rows = rows.withColumn("_ratios", ratios.select("ratios").scalar())
     score = F.aggregate(F.concat("_one", "_two"), F.lit(0.0), lambda a, h: a + F.get(F.col("_ratios"), bucket(h)))
-    n = F.size("_words")
-    rows = rows.withColumns(
-        {
-            "n_words": n.cast("long"),
-            "word_chars": F.length(F.array_join("_words", "")).cast("long"),
-            "n_symbols": (F.octet_length(whole) - F.octet_length(without(whole, SYMBOLS))).cast("long"),
-            "n_dup_lines": (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long"),
-            "n_repeat_words": covered(F.col("_hashes")).cast("long"),
-            "score": F.when(n > 0, score / (2 * n - 1)).otherwise(0.0),
-        }
-    ).drop("_words", "_one", "_two", "_four", "_hashes", "_lines", "_ratios")
+    # Windows of 8 words are hashed from pairs of runs of 4, those from pairs of 2. A window that is there twice repeats 7 of its
+    # runs of 2 and 5 of its runs of 4, so a text with fewer repeats needs no longer runs.
+    none = F.array().cast("array<bigint>")
+    four = F.when(again(F.col("_two")) >= WINDOW - 1, joined(F.col("_two"), 2)).otherwise(none)
+    rows = rows.select(*own, *counts, F.when(F.col("n_words") > 0, score / (2 * F.col("n_words") - 1)).otherwise(0.0).alias("score"), four.alias("_four"))
+    rows = rows.select(*own, *counts, "score", F.when(again(F.col("_four")) >= WINDOW - 3, joined(F.col("_four"), 4)).otherwise(none).alias("_eight"))
+    rows = rows.select(*own, *counts, covered(F.col("_eight")).cast("long").alias("n_repeat_words"), "score")
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED_PERCENT * F.col("n_words"))
     return rows.withColumn("base_failed", failed).withColumn("kept", ~F.col("base_failed") & (F.col("score") >= threshold))
 
