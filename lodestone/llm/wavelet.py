@@ -163,6 +163,8 @@ class ByteLevelEncoder:
 
     #: Places where cutting before every blank would part a run of white space that belongs together.
     RUNS = re.compile(r"\s \s|\s \Z")
+    #: In ASCII text there is no such place without one of these.
+    PAIRS = [f"{c} " for c in " \t\n\x0b\x0c\r\x1c\x1d\x1e\x1f"]
     #: The pre-tokenizer's own pattern.
     PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 
@@ -174,9 +176,9 @@ class ByteLevelEncoder:
         self.tokenizer.no_padding()
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.model, self.symbols = self.tokenizer.model, str.maketrans(dict(enumerate(byte_symbols())))
-        self.piece = Memo(self.merged, 150_000)
+        self.piece = Memo(self.merged, 60_000)
         self.first = Memo(self.chunk, 20_000)
-        self.later = Memo(self.word, 250_000)
+        self.later = Memo(self.word, 350_000)
 
     def library(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
@@ -188,9 +190,9 @@ class ByteLevelEncoder:
     def word(self, part: str) -> bytes:
         """What stands between two blanks, with the first of them. Letters, or letters and a stop, need no pattern."""
         if part.isalpha():
-            return self.piece[" " + part]
+            return self.merged(" " + part)
         if part[-1:] in {".", ","} and part[:-1].isalpha():
-            return self.piece[" " + part[:-1]] + self.piece[part[-1]]
+            return self.later[part[:-1]] + self.piece[part[-1]]
         return self.chunk(" " + part)
 
     def chunk(self, text: str) -> bytes:
@@ -200,7 +202,7 @@ class ByteLevelEncoder:
 
     def encode(self, text: str) -> bytes:
         """The ids as little-endian 32-bit integers."""
-        if self.RUNS.search(text):
+        if (not text.isascii() or any(x in text for x in self.PAIRS)) and self.RUNS.search(text):
             return self.chunk(text)
         first, *later = text.split(" ")
         return self.first[first] + b"".join(map(self.later.__getitem__, later))
