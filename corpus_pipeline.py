@@ -17,7 +17,7 @@ from lodestone.llm.queries import tokenizer
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the base rules or the log-likelihood ratio reject go."""
     ratios = rules.ratio_table(docs, rules.trusted_ids(table(spark, sf_dir, "labels")))
-    return rules.judged(docs, ratios).where("kept").select(*docs.columns)
+    return rules.accepted(docs, ratios)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -114,6 +114,13 @@ def judged(docs: DataFrame, ratios: DataFrame, text: str = "text", threshold: fl
     return rows.withColumn("base_failed", failed).withColumn("kept", ~F.col("base_failed") & (F.col("score") >= threshold))
 
 
+def accepted(docs: DataFrame, ratios: DataFrame, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of docs that are kept. A filter on a verdict would be pushed below the projections that work it out, each of its
+    inputs evaluated again and again; a projection with a task number in it lets no filter through."""
+    rows = judged(docs, ratios, text, threshold).withColumn("_task", F.spark_partition_id())
+    return rows.where(F.col("kept") & (F.col("_task") >= 0)).select(*docs.columns)
+
+
 def trusted_ids(labels: DataFrame) -> DataFrame:
     """The target: documents labelled good and not toxic."""
     return labels.where("quality = 1 and toxic = 0").select("doc_id")
