@@ -8,6 +8,7 @@ from __future__ import annotations
 from typing import Any
 
 import pandas as pd
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 MOST_CHARS = 262_144
@@ -80,6 +81,15 @@ def facts(text: str | None) -> dict[str, Any]:
     return out
 
 
-@F.pandas_udf(SCHEMA)
-def yaml_facts(texts: pd.Series) -> pd.DataFrame:
+def _batch(texts: pd.Series) -> pd.DataFrame:
     return pd.DataFrame([facts(t) for t in texts], columns=list(NOTHING))
+
+
+def as_udf():
+    """The Arrow UDF; made on call, as it needs a session."""
+    _batch.__annotations__ = {"texts": pd.Series, "return": pd.DataFrame}
+    return F.pandas_udf(_batch, SCHEMA)
+
+
+def yaml_facts(text: Column | str) -> Column:
+    return as_udf()(text)

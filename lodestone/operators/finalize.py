@@ -85,7 +85,7 @@ RECOUNTED = {
 def with_quality(rows: DataFrame, unit_type: str) -> DataFrame:
     """One class's rows with the recounted fields in quality, and without quality.files."""
     if "quality" not in rows.columns:
-        return rows.drop("counts")
+        return rows.withColumn("quality", F.struct(*[F.col(f"counts.{n}").alias(n) for n in RECOUNTED.get(unit_type, [])] or [F.lit(None).cast("int").alias("none")])).drop("counts")
     names = [f.name for f in rows.schema["quality"].dataType.fields if f.name != "files"]
     new = RECOUNTED.get(unit_type, [])
     return rows.withColumn("quality", F.struct(*[(F.col(f"counts.{n}") if n in new else F.col(f"quality.{n}")).alias(n) for n in names])).drop("counts")

@@ -27,8 +27,9 @@ def members(data: bytes, chunk: int = CHUNK) -> Iterator[tuple[int, bytes, bool]
             step = 1 if broken else chunk
             try:
                 copy = inflate.copy()
-                out.append(inflate.decompress(data[fed : fed + step]))
-                fed += step
+                piece = data[fed : fed + step]
+                out.append(inflate.decompress(piece))
+                fed += len(piece)
             except zlib.error:
                 if broken:
                     break
