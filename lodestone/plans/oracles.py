@@ -1 +1,206 @@
+"""SQL of the same results for a second engine, from the same rule tables."""
+
+from __future__ import annotations
+
+from ..functions.detectors import API_VERSION, KIND, KIND_TO_TOOL, is_dockerfile_sql, is_terraform_sql, looks_generated_sql, yaml_kind_sql
+from ..functions.dialect import quoted
+from ..functions.path_rules import ADJACENT_TOOLS, LICENSE_FILE, NOISE, SCAN_PREFILTER, UNIT_PREFILTER, YAML_FILE, YAML_OR_TEMPLATE, classify_sql
+from ..operators.finalize import DEFINE, DIGEST_PIN, INCLUDE, LATEST, UNPINNED
+from ..operators.gates import MOST_BYTES, MOST_CHARS, MOST_FILES
+from ..operators.resolve import CANONICAL, CHART_MEMBER, ROLE_MEMBER
+from ..operators.units import MARKS
+from ..sources.corpus import TOTAL_SHARDS
+from ..sources.virtual import files_sql
+
 ORACLES: dict[str, str] = {}
+
+
+def _dir(p: str) -> str:
+    return f"(CASE WHEN contains({p}, '/') THEN regexp_replace({p}, '/[^/]*\\z', '') ELSE '' END)"
+
+
+def _base(p: str) -> str:
+    return f"string_split({p}, '/')[-1]"
+
+
+def _relative(p: str, prefix: str) -> str:
+    return f"(CASE WHEN {prefix} = '' THEN {p} WHEN starts_with({p}, {prefix} || '/') THEN substr({p}, length({prefix}) + 2) END)"
+
+
+def _bucket(stars: str) -> str:
+    return f"(CASE WHEN coalesce({stars}, 0) >= 10000 THEN '10k+' WHEN coalesce({stars}, 0) >= 1000 THEN '1k-10k' WHEN coalesce({stars}, 0) >= 100 THEN '100-1k' WHEN coalesce({stars}, 0) >= 10 THEN '10-100' WHEN coalesce({stars}, 0) >= 1 THEN '1-10' ELSE '0' END)"
+
+
+_IN = lambda values: "(" + ", ".join(map(quoted, values)) + ")"
+_TOOL, _PRECISION = classify_sql("file_path", "language", "tool"), classify_sql("file_path", "language", "precision")
+_CLASSED = f"classed AS (SELECT *, {_TOOL} AS tool, {_PRECISION} AS precision FROM files)"
+_SCANNED = f"scanned AS (SELECT * FROM classed WHERE {SCAN_PREFILTER.sql('file_path')} AND tool IS NOT NULL)"
+_CORE = f"tool NOT IN {_IN(ADJACENT_TOOLS)}"
+
+
+def _with(*parts: str, repeats: bool = False) -> str:
+    return "WITH RECURSIVE " + ", ".join([files_sql(repeats), *parts]) + " "
+
+
+_MARK = "CASE " + " ".join(f"WHEN {p.sql(_base('file_path'))} THEN {quoted(n)}" for n, p in MARKS) + " END"
+_ROLE = "regexp_extract(file_path, '(?i)^((?:.*?/)?roles/[^/]+)/(?:tasks|handlers|defaults)/[^/]+\\.ya?ml\\z', 1)"
+_UNITS = [
+    f"clean AS (SELECT repo_path, file_path FROM files WHERE {UNIT_PREFILTER.sql('file_path')} AND NOT {NOISE.sql('file_path')})",
+    f"""marks AS (SELECT repo_path, {_dir('file_path')} AS prefix, {_MARK} AS mark FROM clean
+  UNION ALL SELECT repo_path, regexp_replace(file_path, '(?s)(^|/)templates/.*\\z', ''), 'template' FROM clean WHERE contains('/' || file_path, '/templates/')
+  UNION ALL SELECT repo_path, {_ROLE}, 'role' FROM clean WHERE {_ROLE} <> '')""",
+    """folders AS (SELECT repo_path, prefix, bool_or(mark = 'chart') AS chart, bool_or(mark = 'values') AS vals, bool_or(mark = 'template') AS template, bool_or(mark = 'role') AS role,
+  bool_or(mark = 'kustomize') AS kustomize, bool_or(mark = 'compose') AS compose, count(*) FILTER (mark = 'terraform') AS tf FROM marks WHERE mark IS NOT NULL GROUP BY ALL)""",
+    """units AS (SELECT repo_path, 'helm_chart' AS unit_kind, prefix FROM folders WHERE chart AND template
+  UNION ALL SELECT repo_path, 'helm_umbrella', prefix FROM folders WHERE chart AND NOT template
+  UNION ALL SELECT repo_path, 'helm_chart_with_values', prefix FROM folders WHERE chart AND template AND vals
+  UNION ALL SELECT repo_path, 'terraform_module', prefix FROM folders WHERE tf >= 2
+  UNION ALL SELECT repo_path, 'terraform_dir', prefix FROM folders WHERE tf >= 1
+  UNION ALL SELECT repo_path, 'ansible_role', prefix FROM folders WHERE role
+  UNION ALL SELECT repo_path, 'kustomize_dir', prefix FROM folders WHERE kustomize
+  UNION ALL SELECT repo_path, 'compose_project', prefix FROM folders WHERE compose)""",
+]
+_REST = _relative("f.file_path", "u.prefix")
+_KIND_TOOL = "CASE kind " + " ".join(f"WHEN {quoted(k)} THEN {quoted(t)}" for k, t in KIND_TO_TOOL.items()) + " END"
+_LABELS = [
+    *_UNITS,
+    _CLASSED,
+    f"""met AS (SELECT f.repo_path, f.pos, u.prefix, CASE WHEN u.unit_kind = 'ansible_role' THEN 'role' ELSE 'chart' END AS kind, {_REST} AS rest
+  FROM files f JOIN units u ON f.repo_path = u.repo_path AND u.unit_kind IN ('helm_chart', 'helm_umbrella', 'ansible_role') AND {_REST} IS NOT NULL)""",
+    f"""ctx AS (SELECT repo_path, pos, arg_max(prefix, length(prefix)) FILTER (kind = 'chart' AND {CHART_MEMBER.sql('rest')}) AS chart,
+  arg_max(prefix, length(prefix)) FILTER (kind = 'role' AND {ROLE_MEMBER.sql('rest')}) AS role FROM met GROUP BY ALL)""",
+    f"kinds AS (SELECT c.*, CASE WHEN {YAML_OR_TEMPLATE.sql('file_path')} THEN {yaml_kind_sql('content', 'file_path')} END AS kind FROM classed c)",
+    f"prior AS (SELECT k.*, chart, role, {_KIND_TOOL} AS kind_tool, coalesce(tool IN {_IN(CANONICAL)}, false) AS sure FROM kinds k LEFT JOIN ctx USING (repo_path, pos))",
+    f"""labels AS (SELECT repo_path, pos, file_path,
+  CASE WHEN chart IS NOT NULL THEN 'helm' WHEN role IS NOT NULL THEN 'ansible' WHEN kind_tool IS NOT NULL THEN kind_tool WHEN kind IS NOT NULL THEN (CASE WHEN sure THEN tool END) ELSE tool END AS tool,
+  CASE WHEN chart IS NOT NULL OR role IS NOT NULL THEN 'structural' WHEN kind_tool IS NOT NULL THEN 'exact' WHEN kind IS NOT NULL THEN (CASE WHEN sure THEN 'structural' END)
+    WHEN tool IS NULL THEN NULL WHEN precision = 'exact' OR sure OR NOT {YAML_OR_TEMPLATE.sql('file_path')} THEN precision ELSE 'heuristic' END AS precision,
+  CASE WHEN chart IS NOT NULL OR role IS NOT NULL THEN 'context' WHEN kind_tool IS NOT NULL THEN (CASE WHEN tool = kind_tool THEN 'path+content' ELSE 'content' END)
+    WHEN kind IS NOT NULL THEN (CASE WHEN sure THEN 'path' END) WHEN tool IS NOT NULL THEN 'path' END AS evidence,
+  CASE WHEN chart IS NOT NULL THEN chart WHEN role IS NOT NULL THEN role END AS unit FROM prior)""",
+]
+_VALIDATED = f"""validated AS (SELECT *, coalesce(tool, 'unclassified') AS path_class, {yaml_kind_sql('content', 'file_path')} AS kind, {looks_generated_sql('content')} AS generated
+  FROM classed WHERE {YAML_FILE.sql('file_path')} OR coalesce(language = 'YAML', false))"""
+
+ORACLES["scan_tool_volume"] = _with(_CLASSED, _SCANNED) + f"SELECT tool, precision, count(*) AS files, CAST(sum(size_bytes) AS BIGINT) AS bytes, count(DISTINCT repo_path) AS repos FROM scanned WHERE {_CORE} GROUP BY ALL"
+ORACLES["scan_languages"] = _with() + "SELECT coalesce(nullif(language, ''), 'unknown') AS language, count(*) AS files FROM files GROUP BY ALL"
+ORACLES["scan_top_languages"] = _with() + "SELECT coalesce(nullif(language, ''), 'unknown') AS language, count(*) AS files FROM files GROUP BY ALL ORDER BY files DESC, language LIMIT 6"
+ORACLES["scan_precision"] = _with(_CLASSED, _SCANNED) + "SELECT tool, precision, count(*) AS files FROM scanned GROUP BY ALL"
+ORACLES["scan_licenses"] = _with(_CLASSED, _SCANNED) + "SELECT coalesce(nullif(license_type, ''), 'unknown') AS license, count(*) AS files FROM scanned GROUP BY ALL"
+ORACLES["scan_star_buckets"] = _with(_CLASSED, _SCANNED, f"r AS (SELECT repo_path, max(stars) AS stars FROM scanned WHERE {_CORE} GROUP BY ALL)") + f"SELECT {_bucket('stars')} AS bucket, count(*) AS repos FROM r GROUP BY ALL"
+_FACTOR = f"(CAST({TOTAL_SHARDS} AS DOUBLE) / shards * (CAST(4 AS DOUBLE) / 3))"
+ORACLES["scan_scalars_extrapolated"] = (
+    _with("s AS (SELECT count(DISTINCT repo_path) AS repos, count(*) AS files, CAST(sum(size_bytes) AS BIGINT) AS bytes, CAST(0 AS BIGINT) AS vendor_files, count(DISTINCT shard) AS shards FROM files)")
+    + "SELECT *, " + ", ".join(f"CAST(trunc({c} * {_FACTOR}) AS BIGINT) AS {c}_extrapolated" for c in ("repos", "files", "bytes")) + " FROM s"
+)
+ORACLES["classify_paths"] = _with(_CLASSED) + "SELECT repo_path, pos, file_path, tool, precision FROM classed"
+ORACLES["path_gates"] = _with() + f"SELECT repo_path, pos, {NOISE.sql('file_path')} AS noise, {SCAN_PREFILTER.sql('file_path')} AS scan_gate, {UNIT_PREFILTER.sql('file_path')} AS unit_gate FROM files"
+ORACLES["path_scalars"] = f"""WITH p AS (SELECT page_id, regexp_replace(url, '^[a-z]+://', '') AS path FROM pages)
+SELECT page_id, {_dir('path')} AS dir, {_base('path')} AS base, {_relative('path', "string_split(path, '/')[1]")} AS rest, regexp_replace(path, '[^A-Za-z0-9._/-]', '_', 'g') AS safe FROM p"""
+ORACLES["content_kinds"] = _with() + f"SELECT repo_path, pos, {yaml_kind_sql('content', 'file_path')} AS kind, {is_terraform_sql('content')} AS terraform, {is_dockerfile_sql('content')} AS docker, {looks_generated_sql('content')} AS generated FROM files"
+ORACLES["detect_units"] = _with(*_UNITS) + "SELECT repo_path, unit_kind, prefix FROM units"
+ORACLES["unit_repos"] = _with(*_UNITS) + "SELECT unit_kind, count(*) AS units, count(DISTINCT repo_path) AS repos FROM units GROUP BY ALL"
+ORACLES["resolve_labels"] = _with(*_LABELS) + "SELECT repo_path, pos, file_path, tool, precision, evidence, unit FROM labels"
+ORACLES["label_evidence"] = _with(*_LABELS) + "SELECT tool, precision, evidence, count(*) AS files, count(DISTINCT (repo_path, unit)) FILTER (unit IS NOT NULL) AS units FROM labels WHERE tool IS NOT NULL GROUP BY ALL"
+ORACLES["validate_recall"] = _with(_CLASSED, _VALIDATED) + "SELECT kind, path_class, count(*) AS files, round(100 * count(*) / sum(count(*)) OVER (PARTITION BY kind), 2) AS pct FROM validated GROUP BY kind, path_class"
+ORACLES["validate_precision"] = _with(_CLASSED, _VALIDATED) + "SELECT path_class, kind, count(*) AS files, round(100 * count(*) / sum(count(*)) OVER (PARTITION BY path_class), 2) AS pct FROM validated WHERE path_class <> 'unclassified' GROUP BY kind, path_class"
+ORACLES["validate_kinds"] = _with(_CLASSED, _VALIDATED) + "SELECT kind, count(*) AS files, CAST(sum(size_bytes) AS BIGINT) AS bytes, count(*) FILTER (generated) AS generated FROM validated GROUP BY ALL"
+ORACLES["validate_confirmations"] = (
+    _with(f"""k AS (SELECT *, CASE WHEN ends_with(file_path, '.tf') THEN 'terraform' WHEN regexp_matches(lower({_base('file_path')}), '^(dockerfile|containerfile)') THEN 'dockerfile' END AS kind
+  FROM files WHERE NOT ({YAML_FILE.sql('file_path')} OR coalesce(language = 'YAML', false)))""")
+    + f"SELECT kind, CASE WHEN (CASE WHEN kind = 'terraform' THEN {is_terraform_sql('content')} ELSE {is_dockerfile_sql('content')} END) THEN 'confirmed' ELSE 'rejected' END AS verdict, count(*) AS files FROM k WHERE kind IS NOT NULL GROUP BY ALL"
+)
+_ROOT = "(NOT contains(f.file_path, '/') OR starts_with(f.file_path, 'templates/') OR starts_with(f.file_path, 'tasks/'))"
+_MEMBERS = f"""members AS (SELECT f.repo_path, u.unit_kind AS unit_type, u.prefix, f.pos, f.file_path, {_REST} AS relative FROM files f JOIN units u ON f.repo_path = u.repo_path
+  AND u.unit_kind IN ('helm_chart', 'terraform_module', 'ansible_role') AND {_REST} IS NOT NULL AND (u.prefix <> '' OR {_ROOT}))"""
+ORACLES["unit_candidates"] = _with(*_UNITS, _MEMBERS) + "SELECT * FROM members"
+_SINGLE = "CASE tool WHEN 'dockerfile' THEN 'dockerfile' WHEN 'github_actions' THEN 'workflow' WHEN 'compose' THEN 'compose' END"
+ORACLES["single_file_units"] = _with(*_LABELS, repeats=True) + f"SELECT repo_path, {_SINGLE} AS unit_type, file_path AS prefix, max(pos) AS pos, any_value(file_path) AS file_path, any_value({_base('file_path')}) AS relative FROM labels WHERE tool IN ('dockerfile', 'github_actions', 'compose') GROUP BY repo_path, {_SINGLE}, labels.file_path"
+ORACLES["manifest_sets"] = (
+    _with(*_LABELS, f"m AS (SELECT *, {_dir('file_path')} AS prefix FROM labels WHERE tool = 'kubernetes')", "n AS (SELECT *, count(*) OVER (PARTITION BY repo_path, prefix) AS c FROM m)", repeats=True)
+    + f"SELECT repo_path, 'manifest_set' AS unit_type, prefix, pos, file_path, {_base('file_path')} AS relative FROM n WHERE c >= 2"
+)
+
+
+def _bounds(n: str = "n") -> str:
+    return f"WHEN {n} > {MOST_FILES} THEN 'too_many_files' WHEN all_bytes > {MOST_BYTES} THEN 'unit_too_large' WHEN longest > {MOST_CHARS} THEN 'file_too_large'"
+
+
+_TF = "ends_with(m.relative, '.tf')"
+ORACLES["gate_terraform_module"] = (
+    _with(
+        *_UNITS, _MEMBERS,
+        f"""g AS (SELECT m.repo_path, m.prefix, count(*) AS n, sum(strlen(content)) AS all_bytes, max(length(content)) AS longest, count(*) FILTER ({_TF}) AS tf, count(*) FILTER ({_TF} AND {is_terraform_sql('content')}) AS decl,
+  count(*) FILTER ({_TF} AND {looks_generated_sql('content')}) AS gen, coalesce(bool_or({_TF} AND contains(lower(m.relative), 'variable')), false) AS hv, coalesce(bool_or({_TF} AND contains(lower(m.relative), 'output')), false) AS ho
+  FROM members m JOIN files f USING (repo_path, pos) WHERE m.unit_type = 'terraform_module' GROUP BY m.repo_path, m.prefix)""",
+        f"v AS (SELECT *, CASE {_bounds()} WHEN tf < 2 THEN 'too_few_tf_files' WHEN decl = 0 THEN 'no_declarations' WHEN gen = tf THEN 'generated' ELSE '' END AS reason FROM g)",
+    )
+    + "SELECT repo_path, prefix, reason = '' AS passed, reason, CASE WHEN reason = '' THEN CAST(tf AS INTEGER) END AS tf_files, CASE WHEN reason = '' THEN CAST(decl AS INTEGER) END AS declaring, CASE WHEN reason = '' THEN hv END AS has_variables, CASE WHEN reason = '' THEN ho END AS has_outputs, CASE WHEN reason = '' THEN CAST(n AS INTEGER) END AS files FROM v"
+)
+_LINE = "trim(l, ' ' || chr(9) || chr(11) || chr(12) || chr(13))"
+ORACLES["gate_dockerfile"] = (
+    _with(
+        *_LABELS,
+        "d AS (SELECT repo_path, file_path AS prefix, max(pos) AS pos FROM labels WHERE tool = 'dockerfile' GROUP BY ALL)",
+        f"c AS (SELECT d.repo_path, d.prefix, f.content, 1 AS n, strlen(content) AS all_bytes, length(content) AS longest, list_transform(string_split(content, chr(10)), lambda l: upper({_LINE})) AS ls FROM d JOIN files f USING (repo_path, pos))",
+        f"v AS (SELECT *, CASE {_bounds()} WHEN NOT {is_dockerfile_sql('content')} THEN 'not_a_dockerfile' WHEN {looks_generated_sql('content')} THEN 'generated' ELSE '' END AS reason, len(list_filter(ls, lambda l: starts_with(l, 'FROM '))) AS st FROM c)",
+    )
+    + """SELECT repo_path, prefix, reason = '' AS passed, reason, CASE WHEN reason = '' THEN CAST(st AS INTEGER) END AS stages, CASE WHEN reason = '' THEN st > 1 END AS multi_stage,
+  CASE WHEN reason = '' THEN CAST(len(list_filter(ls, lambda l: regexp_matches(l, '^(FROM|ARG|RUN|COPY|ADD|CMD|ENTRYPOINT|ENV|WORKDIR|EXPOSE)\\s'))) AS INTEGER) END AS instructions,
+  CASE WHEN reason = '' THEN len(list_filter(ls, lambda l: starts_with(l, 'USER '))) > 0 END AS has_user, CASE WHEN reason = '' THEN len(list_filter(ls, lambda l: starts_with(l, 'HEALTHCHECK'))) > 0 END AS has_healthcheck,
+  CASE WHEN reason = '' THEN 1 END AS files FROM v"""
+)
+_KEEP = "repo_path NOT LIKE 'org3/%'"
+ORACLES["optout_keep"] = _with() + f"SELECT repo_path, count(*) AS files FROM files WHERE {_KEEP} GROUP BY ALL"
+ORACLES["optout_dropped"] = _with() + f"SELECT repo_path, count(*) AS files FROM files WHERE NOT ({_KEEP}) GROUP BY ALL"
+ORACLES["surviving_cited"] = _with() + f"SELECT DISTINCT repo_path FROM files WHERE {_KEEP} AND repo_path IN (SELECT repo_path FROM files WHERE stars > 5000)"
+_SAMPLE = "SELECT DISTINCT CAST(floor(i * (CAST({t} AS DOUBLE) / {n})) AS BIGINT) AS shard FROM range({n}) r(i)"
+ORACLES["sample_indices"] = _SAMPLE.format(t=TOTAL_SHARDS, n=198)
+ORACLES["resume_shards"] = f"WITH s AS (SELECT shard FROM ({_SAMPLE.format(t=TOTAL_SHARDS, n=100)}) ORDER BY shard OFFSET 5) SELECT shard FROM s WHERE shard % 3 <> 0"
+_RECORDS = [
+    *_UNITS, _MEMBERS,
+    "joined AS (SELECT m.*, f.content, f.license_type, f.stars FROM members m JOIN files f USING (repo_path, pos))",
+    "ranked AS (SELECT *, row_number() OVER (PARTITION BY repo_path, unit_type, prefix, file_path, content ORDER BY pos) = 1 AS first FROM joined)",
+]
+ORACLES["dedupe_files"] = _with(*_RECORDS, repeats=True) + "SELECT unit_type, repo_path, prefix AS unit_prefix, CAST(count(*) AS INTEGER) AS files, CAST(count(*) FILTER (first) AS INTEGER) AS kept, string_agg(CAST(pos AS VARCHAR), ',' ORDER BY pos) FILTER (first) AS positions FROM ranked GROUP BY ALL"
+_LOW = "lower(relative)"
+_TEMPLATE = f"(starts_with({_LOW}, 'templates/') AND regexp_matches({_LOW}, '\\.ya?ml\\z'))"
+_TASK = f"(starts_with({_LOW}, 'tasks/') AND regexp_matches({_LOW}, '\\.ya?ml\\z'))"
+ORACLES["recount_units"] = (
+    _with(
+        *_RECORDS,
+        f"""e AS (SELECT unit_type, repo_path, prefix AS unit_prefix, CAST(count(*) FILTER ({_TEMPLATE}) AS INTEGER) AS templates, CAST(count(*) FILTER ({_TEMPLATE} AND contains(content, '{{{{')) AS INTEGER) AS templated_templates,
+  CAST(count(*) FILTER (ends_with({_LOW}, '.tpl')) AS INTEGER) AS helpers, CAST(count(*) FILTER (ends_with(relative, '.tf')) AS INTEGER) AS tf_files, CAST(count(*) FILTER (ends_with(relative, '.tf') AND {is_terraform_sql('content')}) AS INTEGER) AS declaring,
+  CAST(count(*) FILTER ({API_VERSION.sql('content')} AND {KIND.sql('content')}) AS INTEGER) AS manifests, CAST(count(*) FILTER ({_TASK}) AS INTEGER) AS task_files, bool_or(starts_with({_LOW}, 'values')) AS has_values,
+  bool_or(string_split({_LOW}, '/')[1] = 'defaults') AS has_defaults FROM ranked WHERE first GROUP BY ALL)""",
+        repeats=True,
+    )
+    + """SELECT unit_type, repo_path, unit_prefix, CASE WHEN unit_type = 'helm_chart' AND templates < 2 THEN 'too_few_templates' WHEN unit_type = 'helm_chart' AND templated_templates = 0 THEN 'no_templating'
+  WHEN unit_type = 'terraform_module' AND tf_files < 2 THEN 'too_few_tf_files' WHEN unit_type = 'ansible_role' AND task_files = 0 THEN 'no_tasks' ELSE '' END AS reason, templates, templated_templates, helpers, tf_files, declaring, manifests, task_files, has_values, has_defaults FROM e"""
+)
+ORACLES["derived_flags"] = _with(*_RECORDS, repeats=True) + f"""SELECT repo_path, prefix AS unit_prefix, CAST(count(*) AS INTEGER) AS file_count, CAST(sum(length(content)) AS INTEGER) AS total_bytes, bool_and(license_type = 'permissive') AS all_permissive,
+  bool_or({DEFINE.sql('content')}) OR NOT bool_or({INCLUDE.sql('content')}) AS self_contained, bool_or({INCLUDE.sql('content')}) AS references_helpers, bool_or({DEFINE.sql('content')}) AS defines_helpers FROM joined WHERE unit_type = 'helm_chart' GROUP BY repo_path, prefix"""
+ORACLES["dockerfile_flags"] = _with() + f"SELECT repo_path, pos, CAST(1 AS INTEGER) AS file_count, CAST(length(content) AS INTEGER) AS total_bytes, license_type = 'permissive' AS all_permissive, {DIGEST_PIN.sql('content')} AS pins_digest, {LATEST.sql('content')} AS uses_latest_tag FROM files WHERE language = 'Dockerfile'"
+ORACLES["workflow_flags"] = _with() + f"SELECT repo_path, pos, CAST(1 AS INTEGER) AS file_count, CAST(length(content) AS INTEGER) AS total_bytes, license_type = 'permissive' AS all_permissive, {UNPINNED.sql('content')} AS has_unpinned_action FROM files WHERE file_path LIKE '.github/workflows/%'"
+_DONE = f"""done AS (SELECT unit_type, repo_path, prefix, count(*) AS n, count(*) FILTER (first) AS k, count(*) FILTER (first AND {_TEMPLATE}) AS t, count(*) FILTER (first AND {_TEMPLATE} AND contains(content, '{{{{')) AS tt, count(*) FILTER (first AND ends_with(relative, '.tf')) AS tf,
+  bool_or({DEFINE.sql('content')}) OR NOT bool_or({INCLUDE.sql('content')}) AS own FROM ranked WHERE unit_type IN ('helm_chart', 'terraform_module') GROUP BY ALL)"""
+_GOOD = "(CASE WHEN unit_type = 'helm_chart' THEN t >= 2 AND tt > 0 ELSE tf >= 2 END)"
+ORACLES["finalize_stats"] = _with(*_RECORDS, _DONE, repeats=True) + f"""SELECT unit_type, count(*) AS "read", CAST(0 AS BIGINT) AS unparseable, count(*) FILTER (NOT ({_KEEP})) AS dropped_opted_out, count(*) FILTER ({_KEEP} AND n > k) AS units_with_duplicates,
+  CAST(coalesce(sum(n - k) FILTER ({_KEEP}), 0) AS BIGINT) AS duplicate_files_removed, count(*) FILTER ({_KEEP} AND NOT {_GOOD}) AS dropped_after_dedup, count(*) FILTER ({_KEEP} AND {_GOOD} AND unit_type = 'helm_chart' AND NOT own) AS charts_not_self_contained,
+  count(*) FILTER ({_KEEP} AND {_GOOD}) AS written FROM done GROUP BY unit_type"""
+ORACLES["license_distribution"] = _with() + "SELECT license_type AS license, count(*) AS files, CAST(sum(size_bytes) AS BIGINT) AS bytes FROM files GROUP BY ALL"
+ORACLES["detected_licenses"] = _with() + "SELECT 'detected' AS license, count(*) AS files FROM files WHERE license_type = 'permissive' HAVING count(*) > 0"
+_REPOS = "r AS (SELECT repo_path, count(*) AS n, count(*) FILTER (license_type = 'permissive') AS free, bool_or(NOT contains(file_path, '/') AND {lic}) AS has_license_file FROM files GROUP BY ALL)"
+ORACLES["repo_purity"] = _with(_REPOS.format(lic="true")) + "SELECT CASE WHEN free = n THEN 'all_permissive' WHEN free > 0 THEN 'mixed' ELSE 'none_permissive' END AS purity, count(*) AS repos FROM r GROUP BY ALL"
+ORACLES["license_propagation"] = _with(_REPOS.replace("{lic}", LICENSE_FILE.sql("file_path"))) + "SELECT has_license_file, CASE WHEN free = 0 THEN 'none' WHEN free = n THEN 'fully' ELSE 'partly' END AS labelled, count(*) AS repos FROM r GROUP BY ALL"
+_PER_UNIT = "per AS (SELECT unit_type, repo_path, prefix, count(*) AS n, sum(length(content)) AS b, bool_or(license_type = 'permissive') AS free, any_value(stars) AS stars FROM joined GROUP BY ALL)"
+ORACLES["class_profile"] = _with(*_RECORDS, _PER_UNIT, repeats=True) + "SELECT unit_type, count(*) AS units, CAST(sum(n) AS BIGINT) AS files, round(sum(n) / count(*), 2) AS mean_files_per_unit, round(sum(b) / count(*), 2) AS mean_bytes_per_unit, round(100 * count(*) FILTER (free) / count(*), 2) AS permissive_pct FROM per GROUP BY ALL"
+ORACLES["license_tally"] = _with(*_RECORDS, "d AS (SELECT DISTINCT unit_type, repo_path, prefix, license_type FROM joined)", repeats=True) + "SELECT unit_type, license_type AS license, count(*) AS units FROM d GROUP BY ALL"
+ORACLES["star_tally"] = _with(*_RECORDS, _PER_UNIT, repeats=True) + f"SELECT unit_type, {_bucket('stars')} AS bucket, count(*) AS units FROM per GROUP BY ALL"
+ORACLES["numeric_profile"] = """WITH o AS (SELECT l_returnflag AS unit_type, CAST(l_quantity AS BIGINT) AS v, row_number() OVER (PARTITION BY l_returnflag ORDER BY l_quantity) - 1 AS i, count(*) OVER (PARTITION BY l_returnflag) AS n FROM lineitem WHERE l_quantity IS NOT NULL)
+SELECT unit_type, min(v) AS min, max(v) FILTER (i = n // 2) AS p50, max(v) FILTER (i = CAST(floor(n * 0.9) AS BIGINT)) AS p90, max(v) AS max, round(avg(v), 2) AS mean FROM o GROUP BY ALL"""
+ORACLES["materialised_paths"] = _with(*_RECORDS, repeats=True) + """SELECT unit_type, repo_path, prefix AS unit_prefix, unit_type || '/' || regexp_replace(repo_path, '[^A-Za-z0-9._-]', '_', 'g') || CASE WHEN prefix = '' THEN '' ELSE '__' || regexp_replace(prefix, '[^A-Za-z0-9._-]', '_', 'g') END || '/' || regexp_replace(relative, '[^A-Za-z0-9._/-]', '_', 'g') AS target, length(content) AS chars FROM joined"""
+ORACLES["card_totals"] = _with(
+    *_RECORDS, "u AS (SELECT unit_type AS config, count(DISTINCT (repo_path, prefix)) AS r, sum(length(content)) AS b, count(*) FILTER (NOT first) AS d FROM ranked GROUP BY ALL)", repeats=True
+) + """SELECT coalesce(config, 'total') AS config, CAST(sum(r) AS BIGINT) AS "rows", count(*) AS files, CAST(sum(b) AS BIGINT) AS bytes, CAST(sum(d) AS BIGINT) AS duplicate_files_removed, CASE WHEN config = 'helm_chart' THEN CAST(100.0 AS DOUBLE) END AS self_contained_pct FROM u GROUP BY ROLLUP (config)"""
+ORACLES["record_dedup"] = _with() + "SELECT repo_path, count(*) AS kept, count(*) FILTER (pos % 5 = 0) AS repeats FROM files GROUP BY ALL"
