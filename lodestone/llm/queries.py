@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, factors, gif, jaccard, mixing, ordinal, rules, sharding, warc, wavelet
+from . import bpe, factors, gif, jaccard, mixing, oracles, ordinal, rules, sharding, warc, wavelet
 from ._common import table
 
 
@@ -61,4 +61,4 @@ def op10_backtrack_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_ordinal_quality, op2_signature_trees, op3_previous_factors, op4_hash_tree_shards, op5_poisson_mix, op6_ratio_rules, op7_wavelet_files, op8_gif_frames, op9_dictionary_warc, op10_backtrack_bpe)}
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op2_signature_trees": oracles.OP2, "op4_hash_tree_shards": oracles.OP4, "op5_poisson_mix": oracles.OP5, "op9_dictionary_warc": oracles.OP9}
