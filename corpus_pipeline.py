@@ -35,7 +35,7 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sources are brought to weights of the square root of their rows, at as many rows as come in."""
-    return mixing.replicate(docs, weight=F.sqrt).select(*docs.columns)
+    return mixing.mixed(docs, weight=F.sqrt)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -407,7 +407,7 @@ def repeated_spans(docs: DataFrame, min_length: int = MIN_LENGTH, first: bool =
 
 
 def deduplicated(docs: DataFrame, key: str = "doc_id", text: str = "text", min_length: int = MIN_LENGTH, keep: str = "none", hot_rows: int = HOT_ROWS, whole_rows: bool = False) -> DataFrame:
-    """key, n_bytes, n_removed, n_spans and kept_sha256 of every row; with whole_rows, docs' columns with the text that is left, and these as well."""
+    """key, n_bytes, n_removed, n_spans and kept_sha256 of every row; with whole_rows, docs' own columns with the text that is left."""
     first = keep == "first"
     rows = _texts(docs, key, text)
     spans, copies = repeated_spans(rows, min_length, first, hot_rows)
@@ -416,20 +416,19 @@ def deduplicated(docs: DataFrame, key: str = "doc_id", text: str = "text", min_l
 
     def digested(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            d = [np.frombuffer(_digest((x.as_py() or "").encode()), np.int64)[0] for x in batch.column(text)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(d, pa.int64())], names=[*batch.schema.names, "_digest"])
-
-    source = docs if whole_rows else docs.select(key, text)
-    tagged = source.mapInArrow(digested, StructType([*source.schema.fields, StructField("_digest", LongType())]))
-    held = tagged.join(facts, tagged["_digest"] == facts["digest"], "left")
+            d = [np.frombuffer(_digest(x.as_py()), np.int64)[0] for x in batch.column("text").cast(pa.binary())]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(d, pa.int64())], names=[*batch.schema.names, "own"])
+
+    # Columns go under numbers, so none can clash with those that are added.
+    names = docs.columns if whole_rows else [key]
+    source = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)], F.col(key).cast("long").alias("id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
+    tagged = source.mapInArrow(digested, StructType([*source.schema.fields, StructField("own", LongType())]))
+    held = tagged.join(facts, tagged["own"] == facts["digest"], "left")
     many = (F.col("copies") > 1) & (F.col("n") >= min_length)
     # Of whole copies the least doc_id is the first; rows of one doc_id with one text count as one document.
-    later = many & (F.coalesce(F.col(key).cast("long"), F.lit(-(1 << 63))) != F.col("keeper")) if first else many
-    held = held.withColumn("whole", F.coalesce(later, F.lit(False))).drop("_digest", "digest", "keeper", "copies", "n")
+    later = many & (F.coalesce("id", F.lit(-(1 << 63))) != F.col("keeper")) if first else many
+    held = held.withColumn("whole", F.coalesce(later, F.lit(False)))
     if not whole_rows:
-        held = held.select(F.col(key).cast("long").alias("id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"), "spans", "whole")
-        return _cut(held, min_length, False).withColumnRenamed("id", key)
-    columns = [c for c in docs.columns if c != text]
-    held = held.select(*[F.col(c) for c in columns], F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"), "spans", "whole")
-    out = _cut(held, min_length, True)
-    return out.select(*[F.col("kept_text").alias(c) if c == text else F.col(c) for c in docs.columns], "n_bytes", "n_removed", "n_spans", "kept_sha256")
+        return _cut(held.select("id", "text", "spans", "whole"), min_length, False).withColumnRenamed("id", key)
+    out = _cut(held.select(*[f"c{i}" for i in range(len(names))], "text", "spans", "whole"), min_length, True)
+    return out.select(*[(F.col("kept_text") if c == text else F.col(f"c{i}")).alias(c) for i, c in enumerate(names)])

@@ -51,23 +51,36 @@ def rates(docs: DataFrame, source: str, weight: Callable[[Column], Column] | dic
     return rated.select(F.col(source), "n", "rate", "steps", law["law"].alias("law"))
 
 
-def replicate(docs: DataFrame, weight: Callable[[Column], Column] | dict, epochs: float = 1.0, key: str = "doc_id", source: str = "source", seed: str = "mix") -> DataFrame:
-    """docs' columns with n_copies, copy (from 0) and shuffle_key, sorted by it. The sources' table is broadcast only below a checked size."""
-    table = rates(docs, source, weight, epochs)
-    right = table.select(F.col(source).alias("_source"), F.col("steps").alias("_steps"), F.col("law").alias("_law"))
+def _copies(docs: DataFrame, weight: Callable[[Column], Column] | dict, epochs: float, key: str, source: str, seed: str) -> DataFrame:
+    """(_row, _key, _n, _copy, _order) for every copy, in the global order. The sources' table is broadcast only below a checked size."""
+    right = rates(docs, source, weight, epochs).select(F.col(source).alias("_source"), F.col("steps").alias("_steps"), F.col("law").alias("_law"))
+    left = docs.select(F.struct("*").alias("_row"), F.col(key).alias("_key"), F.col(source).alias("_own"))
     many = docs.select(source).distinct().limit(BROADCAST_SOURCES + 1).count()
+    same = F.col("_own").eqNullSafe(F.col("_source"))
     if many <= BROADCAST_SOURCES:
-        joined = docs.join(F.broadcast(right), docs[source].eqNullSafe(right["_source"]))
+        joined = left.join(F.broadcast(right), same)
     else:
-        left = docs.withColumn("_salt", F.pmod(F.xxhash64(F.coalesce(F.col(key), F.lit(0))), F.lit(SALT)))
-        right = right.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALT - 1).cast("long"))))
-        joined = left.join(right, left[source].eqNullSafe(right["_source"]) & (left["_salt"] == right["_salt"])).drop("_salt")
-    uniform = lambda i: (hashed(seed, F.col(key), i) + F.lit(0.5)) / float(1 << DRAW_BITS)
+        left = left.withColumn("_salt", F.pmod(F.xxhash64(F.coalesce(F.col("_key").cast("string"), F.lit(""))), F.lit(SALT)))
+        right = right.withColumn("_of", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALT - 1).cast("long"))))
+        joined = left.join(right, same & (F.col("_salt") == F.col("_of")))
+    uniform = lambda i: (hashed(seed, F.col("_key"), i) + F.lit(0.5)) / float(1 << DRAW_BITS)
     count = F.aggregate(
         F.transform(F.sequence(F.lit(1), F.col("_steps")), lambda i: F.struct(uniform(i).alias("u"))),
         F.lit(0),
         lambda a, x: a + F.size(F.filter(F.col("_law"), lambda c: c <= x["u"])),
     )
-    counted = joined.withColumn("n_copies", count).drop("_source", "_steps", "_law").where("n_copies > 0")
-    copies = counted.withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("n_copies") - 1)))
-    return copies.withColumn("shuffle_key", hashed(f"{seed}/order", F.col(key), F.col("copy"))).orderBy("shuffle_key", key, "copy")
+    counted = joined.select("_row", "_key", count.alias("_n"))
+    copies = counted.select("*", F.explode(F.when(F.col("_n") > 0, F.sequence(F.lit(0), F.col("_n") - 1))).alias("_copy"))
+    return copies.withColumn("_order", hashed(f"{seed}/order", F.col("_key"), F.col("_copy"))).orderBy("_order", "_key", "_copy")
+
+
+def replicate(docs: DataFrame, weight: Callable[[Column], Column] | dict, epochs: float = 1.0, key: str = "doc_id", source: str = "source", seed: str = "mix") -> DataFrame:
+    """docs' columns with n_copies, copy (from 0) and shuffle_key, sorted by it; columns of docs with these names give way."""
+    new = {"n_copies": F.col("_n"), "copy": F.col("_copy"), "shuffle_key": F.col("_order")}
+    own = [F.col(f"_row.`{c}`").alias(c) for c in docs.columns if c not in new]
+    return _copies(docs, weight, epochs, key, source, seed).select(*own, *[c.alias(n) for n, c in new.items()])
+
+
+def mixed(docs: DataFrame, weight: Callable[[Column], Column] | dict, epochs: float = 1.0, key: str = "doc_id", source: str = "source", seed: str = "mix") -> DataFrame:
+    """docs' own columns, each row as often as it is drawn, in the global order."""
+    return _copies(docs, weight, epochs, key, source, seed).select("_row.*")

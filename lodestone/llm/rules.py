@@ -29,6 +29,7 @@ PRIOR = 2.0
 WINDOW = 8
 MIN_WORDS = 20
 MOST_REPEATED_PERCENT = 30
+VERDICT = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "score", "base_failed", "kept"]
 SYMBOLS = "#*$%&|<>"
 
 
@@ -83,13 +84,18 @@ def covered(hashes: Column) -> Column:
 
 
 def judged(docs: DataFrame, ratios: DataFrame, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """docs with n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, score, base_failed and kept."""
+    """docs with n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, score, base_failed and kept; columns of docs with these names give way."""
+    rows = _verdicts(docs, ratios, text, threshold)
+    return rows.select(*[F.col(f"_row.`{c}`").alias(c) for c in docs.columns if c not in VERDICT], *VERDICT)
+
+
+def _verdicts(docs: DataFrame, ratios: DataFrame, text: str, threshold: float) -> DataFrame:
     whole = F.coalesce(F.col(text).cast("string"), F.lit(""))
     lines = F.filter(F.split(whole, "\n"), lambda x: F.btrim(x, F.lit(" " + WORD_GAPS)) != "")
-    own = [F.col(c) for c in docs.columns]
+    own = ["_row"]
     # One projection a step, and each array left behind as soon as it has been used: a projection copies all arrays it hands on.
-    rows = docs.select(*own, words_of(F.col(text).cast("string")).alias("_words"), lines.alias("_lines"))
-    n = F.size("_words")
+    rows = docs.select(F.struct("*").alias("_row"), whole.alias("_text"), words_of(F.col(text).cast("string")).alias("_words"), lines.alias("_lines"))
+    n, whole = F.size("_words"), F.col("_text")
     rows = rows.select(
         *own,
         n.cast("long").alias("n_words"),
@@ -117,8 +123,8 @@ def judged(docs: DataFrame, ratios: DataFrame, text: str = "text", threshold: fl
 def accepted(docs: DataFrame, ratios: DataFrame, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """The rows of docs that are kept. A filter on a verdict would be pushed below the projections that work it out, each of its
     inputs evaluated again and again; a projection with a task number in it lets no filter through."""
-    rows = judged(docs, ratios, text, threshold).withColumn("_task", F.spark_partition_id())
-    return rows.where(F.col("kept") & (F.col("_task") >= 0)).select(*docs.columns)
+    rows = _verdicts(docs, ratios, text, threshold).withColumn("_task", F.spark_partition_id())
+    return rows.where(F.col("kept") & (F.col("_task") >= 0)).select("_row.*")
 
 
 def trusted_ids(labels: DataFrame) -> DataFrame:
