@@ -207,28 +207,27 @@ def _digest(text: bytes) -> bytes:
 
 
 def _anchored(docs: DataFrame, min_length: int) -> DataFrame:
-    """(gram, occurrence, id, digest, place) for all anchors. Copies of a text have the same occurrences."""
+    """(gram, id, digest, place) for all anchors. Copies of a text differ in id alone."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, out, held = batch.column(0).to_pylist(), [[], [], [], [], []], 0
-            for k, x in zip(ids, batch.column(1).cast(pa.binary()), strict=True):
+            out, held = [[], [], [], []], 0
+            for k, x in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()), strict=True):
                 raw = x.as_py()
                 places, h = anchors(np.frombuffer(raw, np.uint8), min_length)
                 if not len(places):
                     continue
                 (d,) = np.frombuffer(_digest(raw), np.int64)[:1]
                 out[0].append(h.view(np.int64))
-                out[1].append((places * np.int64(0x5851F42D4C957F2D)) ^ d)
-                out[2].append((k, len(places)))
-                out[3].append(np.full(len(places), d))
-                out[4].append(places.astype(np.int32))
+                out[1].append((k, len(places)))
+                out[2].append(np.full(len(places), d))
+                out[3].append(places.astype(np.int32))
                 held += len(places)
             if held:
-                counts = pa.array(np.repeat(np.arange(len(out[2])), [n for _, n in out[2]]))
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(out[0])), pa.array(np.concatenate(out[1])), pa.array([k for k, _ in out[2]], pa.int64()).take(counts), pa.array(np.concatenate(out[3])), pa.array(np.concatenate(out[4]))], names=["gram", "occurrence", "id", "digest", "place"])
+                counts = pa.array(np.repeat(np.arange(len(out[1])), [n for _, n in out[1]]))
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(out[0])), pa.array([k for k, _ in out[1]], pa.int64()).take(counts), pa.array(np.concatenate(out[2])), pa.array(np.concatenate(out[3]))], names=["gram", "id", "digest", "place"])
 
-    return docs.mapInArrow(run, "gram bigint, occurrence bigint, id bigint, digest bigint, place int")
+    return docs.mapInArrow(run, "gram bigint, id bigint, digest bigint, place int")
 
 
 def _contexts(docs: DataFrame, min_length: int, first: bool) -> DataFrame:
@@ -388,10 +387,11 @@ def repeated_spans(docs: DataFrame, min_length: int = MIN_LENGTH, first: bool =
     rows = docs.mapInArrow(digested, "id bigint, digest bigint, n bigint")
     low = F.min(F.coalesce("id", F.lit(-(1 << 63))))
     copies = written(rows.groupBy("digest").agg(low.alias("keeper"), F.count(F.lit(1)).alias("copies"), F.max("n").alias("n")), "copies")
-    found = _anchored(docs, min_length).repartition("gram")
-    grams = found.groupBy("gram").agg(F.min("occurrence").alias("low"), F.max("occurrence").alias("high"), F.count(F.lit(1)).alias("rows")).where("low <> high").select("gram", "rows")
-    kept = found.join(grams, "gram").withColumn("keeper", F.coalesce("id", F.lit(-(1 << 63))))
-    kept = kept.join(copies.select("digest", "keeper"), ["digest", "keeper"], "left_semi")
+    # Copies of a text are put together before anything is dealt by gram, so a large group of them is no hot key; a gram that many
+    # texts share is counted before its shuffle, and the join's large partitions can be split.
+    found = _anchored(docs, min_length).groupBy("gram", "digest", "place").agg(low.alias("keeper"))
+    grams = found.groupBy("gram").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1").select("gram")
+    kept = found.join(grams, "gram").select("gram", "digest", "place", F.when(F.col("keeper") == -(1 << 63), None).otherwise(F.col("keeper")).alias("id"))
     places = kept.groupBy("id", "digest").agg(F.collect_set(F.struct("place", "gram")).alias("places"))
     both = docs.withColumn("_id", F.coalesce("id", F.lit(-(1 << 63)))).join(places.select(F.coalesce("id", F.lit(-(1 << 63))).alias("_id"), "digest", "places"), "_id")
     contexts = written(_contexts(both.select("id", "text", "places"), min_length, first), "contexts")
