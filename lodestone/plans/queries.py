@@ -14,6 +14,7 @@ from ..operators import candidates as cand
 from ..operators import finalize, gates, profile, reports, units
 from ..operators.resolve import labelled
 from ..sources import card, corpus, gzip_repair, publish
+from ..sources.shared import stored
 from ..sources.virtual import virtual_files
 from ..streaming.incremental import extracted
 
@@ -168,7 +169,7 @@ def manifest_sets(spark, sf):
 
 def _members(spark, sf):
     files = virtual_files(spark, sf)
-    members = cand.candidates(files, labelled(files))
+    members = stored(cand.candidates(files, labelled(files)), "members")
     return files, members, gates.file_facts(files, members)
 
 
@@ -193,7 +194,7 @@ for _t in gates.GATES:
 @query
 def rejection_histogram(spark, sf):
     _, members, facts = _members(spark, sf)
-    return gates.rejections(gates.all_verdicts(members, facts))
+    return gates.rejections(gates.all_verdicts(members, stored(facts, "facts")))
 
 
 def _surviving(files: DataFrame) -> DataFrame:

@@ -15,14 +15,16 @@ from ..operators.gates import GATES, file_facts, unit_records
 from ..operators.resolve import labelled
 from ..operators.units import detect_units
 from ..sources.corpus import PROFILES, flatten, without_forks
+from ..sources.shared import stored
 
 
 def extracted(files: DataFrame, unit_types: list[str] | None = None) -> dict[str, DataFrame]:
     """Records of the units that pass their gates, by class. `files` should be a stored table: it is read for labels, facts and contents."""
     own = without_forks(files)
     units = detect_units(own)
-    members = candidates(own, labelled(own, units), units)
-    facts = file_facts(own, members)
+    # Seven gates read these two, so each is worked out once.
+    members = stored(candidates(own, labelled(own, units), units), "members")
+    facts = stored(file_facts(own, members), "facts")
     return {t: unit_records(own, members, GATES[t](members, facts)) for t in unit_types or GATES}
 
 
