@@ -17,6 +17,7 @@ from __future__ import annotations
 import hashlib
 import json
 import unicodedata
+from array import array
 from collections.abc import Iterator
 
 import ahocorasick
@@ -31,6 +32,8 @@ from ._common import Memo
 #: Distance between a symbol and the same symbol at a word's end.
 WORD_END = 0x1000
 NEVER = 1 << 40
+#: Marks that, alone behind letters, are a piece of their own.
+STOPS = (b".", b",", b"!", b"?", b";", b":")
 
 
 def byte_symbols() -> list[str]:
@@ -98,7 +101,7 @@ class Vocabulary:
         self.block = b"".join(names)
         self.offsets = np.concatenate([[0], np.cumsum([len(x) for x in names])]).astype(np.int64)
         self.name_of = [self.block[a:b] for a, b in zip(self.offsets[:-1], self.offsets[1:], strict=True)]
-        self.ids_of_piece = Memo(lambda piece: np.array(self.encode_piece(piece), "<u4").tobytes(), 200_000)
+        self.ids_of_piece = Memo(lambda piece: array("I", self.encode_piece(piece)).tobytes(), 200_000)
         self.ids_of = Memo(self._ids_of_chunk, 300_000)
 
     def _own(self, token: int, own: set[int]) -> bool:
@@ -157,6 +160,10 @@ class Vocabulary:
 
     def _ids_of_chunk(self, chunk: bytes) -> bytes:
         """Ids, packed, of a run without ASCII white space. Pieces never cross that, and neither does normalisation."""
+        if chunk.isalpha():  # ASCII letters only: one piece, lower-cased
+            return self.ids_of_piece[chunk.lower().decode()]
+        if chunk[-1:] in STOPS and chunk[:-1].isalpha():
+            return self.ids_of[chunk[:-1]] + self.ids_of_piece[chunk[-1:].decode()]
         text = chunk.decode("utf-8", "replace")
         if not any(x in chunk for x in self.added_bytes):
             return b"".join(map(self.ids_of_piece.__getitem__, self._pieces(text)))
