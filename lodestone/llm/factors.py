@@ -184,18 +184,25 @@ def recurring(group: np.ndarray, left: list[bytes], right: list[bytes], position
             yield flagged, t
 
 
-def spans_of(flags: list[tuple[np.ndarray, int]], places: np.ndarray, min_length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(row, start, end) for each row's runs of consecutive offsets."""
-    if not flags:
-        none = np.empty(0, np.int64)
-        return none, none, none
-    row = np.concatenate([r for r, _ in flags])
-    t = np.concatenate([np.full(len(r), t) for r, t in flags])
-    order = np.lexsort((t, row))
-    row, t = row[order], t[order]
-    cut = np.flatnonzero(np.concatenate([[True], (row[1:] != row[:-1]) | (t[1:] != t[:-1] + 1)]))
-    last = np.concatenate([cut[1:], [len(row)]]) - 1
-    return row[cut], places[row[cut]] - t[last], places[row[cut]] - t[cut] + min_length
+def spans_of(flags: Iterator[tuple[np.ndarray, int]], places: np.ndarray, min_length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, start, end) for each row's runs of consecutive offsets. flags come by rising offset; only runs that are open are held."""
+    since, before, last, out = np.zeros(len(places), np.int64), np.zeros(len(places), bool), -1, [[], [], []]
+
+    def close(rows: np.ndarray, t: int) -> None:
+        for column, values in zip(out, (rows, places[rows] - t, places[rows] - since[rows] + min_length), strict=True):
+            column.append(values)
+
+    for rows, t in flags:
+        if t > last + 1:
+            close(np.flatnonzero(before), last)
+            before[:] = False
+        now = np.zeros(len(places), bool)
+        now[rows] = True
+        close(np.flatnonzero(before & ~now), last)
+        since[now & ~before] = t
+        before, last = now, t
+    close(np.flatnonzero(before), last)
+    return tuple(np.concatenate(c) if c else np.empty(0, np.int64) for c in out)
 
 
 def _texts(docs: DataFrame, key: str, text: str) -> DataFrame:
@@ -207,31 +214,29 @@ def _digest(text: bytes) -> bytes:
 
 
 def _anchored(docs: DataFrame, min_length: int) -> DataFrame:
-    """(gram, id, digest, place) for all anchors. Copies of a text differ in id alone."""
+    """(gram, id, digest, often) for each text's distinct grams; often: at more than one place in it. A periodic text has one row a gram, however long it is."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out, held = [[], [], [], []], 0
+            out: list[list] = [[], [], [], []]
             for k, x in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()), strict=True):
                 raw = x.as_py()
-                places, h = anchors(np.frombuffer(raw, np.uint8), min_length)
-                if not len(places):
-                    continue
-                (d,) = np.frombuffer(_digest(raw), np.int64)[:1]
-                out[0].append(h.view(np.int64))
-                out[1].append((k, len(places)))
-                out[2].append(np.full(len(places), d))
-                out[3].append(places.astype(np.int32))
-                held += len(places)
-            if held:
+                _, h = anchors(np.frombuffer(raw, np.uint8), min_length)
+                if len(h):
+                    grams, n = np.unique(h, return_counts=True)
+                    out[0].append(grams.view(np.int64))
+                    out[1].append((k, len(grams)))
+                    out[2].append(np.full(len(grams), np.frombuffer(_digest(raw), np.int64)[0]))
+                    out[3].append(n > 1)
+            if out[0]:
                 counts = pa.array(np.repeat(np.arange(len(out[1])), [n for _, n in out[1]]))
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(out[0])), pa.array([k for k, _ in out[1]], pa.int64()).take(counts), pa.array(np.concatenate(out[2])), pa.array(np.concatenate(out[3]))], names=["gram", "id", "digest", "place"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(out[0])), pa.array([k for k, _ in out[1]], pa.int64()).take(counts), pa.array(np.concatenate(out[2])), pa.array(np.concatenate(out[3]))], names=["gram", "id", "digest", "often"])
 
-    return docs.mapInArrow(run, "gram bigint, id bigint, digest bigint, place int")
+    return docs.mapInArrow(run, "gram bigint, id bigint, digest bigint, often boolean")
 
 
 def _contexts(docs: DataFrame, min_length: int, first: bool) -> DataFrame:
-    """For texts with the places of their repeated anchors: rows (gram, id, digest, place, left, right), and rows of spans that repeat within the text itself."""
+    """For texts with the grams that are repeated: their anchors are found again. Rows (gram, id, digest, place, left, right), and rows of spans that repeat within the text itself."""
     reach = min_length // 2 - 1
     k = min_length - reach
 
@@ -245,11 +250,13 @@ def _contexts(docs: DataFrame, min_length: int, first: bool) -> DataFrame:
                 for column, v in zip(rows, values, strict=True):
                     column.append(v)
 
-            for key, x, places in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()), batch.column(2), strict=True):
+            for key, x, grams in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()), batch.column(2), strict=True):
                 raw = x.as_py()
                 (d,) = np.frombuffer(_digest(raw), np.int64)[:1].tolist()
                 seen: dict[tuple, list[int]] = {}
-                for place, gram in sorted((p["place"].as_py(), p["gram"].as_py()) for p in places):
+                places, h = anchors(np.frombuffer(raw, np.uint8), min_length)
+                wanted = np.isin(h.view(np.int64), grams.values.to_numpy())
+                for place, gram in zip(places[wanted].tolist(), h.view(np.int64)[wanted].tolist(), strict=True):
                     left, right = raw[max(0, place - reach) : place][::-1], raw[place + k : place + k + reach]
                     seen.setdefault((gram, left, right), []).append(place)
                 for (gram, left, right), at in seen.items():
@@ -277,11 +284,13 @@ def _grouped(rows: DataFrame, min_length: int, first: bool) -> DataFrame:
             t = pa.concat_tables([x for _, x in held])
             group = np.repeat(np.arange(1, len(held) + 1), [x.num_rows for _, x in held])
             places = t.column(3).to_numpy().astype(np.int64)
-            flags = list(recurring(group, t.column(4).to_pylist(), t.column(5).to_pylist(), np.arange(len(places)), reach, first))
+            flags = recurring(group, t.column(4).to_pylist(), t.column(5).to_pylist(), np.arange(len(places)), reach, first)
             row, start, end = spans_of(flags, places, min_length)
             return pa.RecordBatch.from_arrays([t.column(1).combine_chunks().take(pa.array(row)), t.column(2).combine_chunks().take(pa.array(row)), pa.array(start), pa.array(end)], names=["id", "digest", "start", "end"])
 
         for gram, t in runs(batches):
+            d, p = t.column(2).to_numpy(), t.column(3).to_numpy()
+            t = t.filter(pa.array(np.concatenate([[True], (d[1:] != d[:-1]) | (p[1:] != p[:-1])])))  # a row that is there twice is one document
             if t.num_rows > 1:
                 held.append((gram, t))
                 size += t.num_rows
@@ -291,7 +300,7 @@ def _grouped(rows: DataFrame, min_length: int, first: bool) -> DataFrame:
         if held:
             yield work()
 
-    ordered = rows.repartition("gram").sortWithinPartitions("gram", F.col("id").asc_nulls_first(), "place")
+    ordered = rows.repartition("gram").sortWithinPartitions("gram", F.col("id").asc_nulls_first(), "digest", "place")
     return ordered.select("gram", "id", "digest", "place", "left", "right").mapInArrow(run, "id bigint, digest bigint, start bigint, end bigint")
 
 
@@ -389,12 +398,11 @@ def repeated_spans(docs: DataFrame, min_length: int = MIN_LENGTH, first: bool =
     copies = written(rows.groupBy("digest").agg(low.alias("keeper"), F.count(F.lit(1)).alias("copies"), F.max("n").alias("n")), "copies")
     # Copies of a text are put together before anything is dealt by gram, so a large group of them is no hot key; a gram that many
     # texts share is counted before its shuffle, and the join's large partitions can be split.
-    found = _anchored(docs, min_length).groupBy("gram", "digest", "place").agg(low.alias("keeper"))
-    grams = found.groupBy("gram").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1").select("gram")
-    kept = found.join(grams, "gram").select("gram", "digest", "place", F.when(F.col("keeper") == -(1 << 63), None).otherwise(F.col("keeper")).alias("id"))
-    places = kept.groupBy("id", "digest").agg(F.collect_set(F.struct("place", "gram")).alias("places"))
-    both = docs.withColumn("_id", F.coalesce("id", F.lit(-(1 << 63)))).join(places.select(F.coalesce("id", F.lit(-(1 << 63))).alias("_id"), "digest", "places"), "_id")
-    contexts = written(_contexts(both.select("id", "text", "places"), min_length, first), "contexts")
+    found = _anchored(docs, min_length).groupBy("gram", "digest").agg(low.alias("keeper"), F.max("often").alias("often"))
+    grams = found.groupBy("gram").agg(F.count(F.lit(1)).alias("rows"), F.max("often").alias("any")).where("rows > 1 or any").select("gram")
+    kept = found.join(grams, "gram").groupBy("keeper", "digest").agg(F.collect_set("gram").alias("grams"))
+    both = docs.withColumn("_id", F.coalesce("id", F.lit(-(1 << 63)))).join(kept.select(F.col("keeper").alias("_id"), "grams"), "_id")
+    contexts = written(_contexts(both.select("id", "text", "grams"), min_length, first), "contexts")
     own = contexts.where("gram is null").select("id", "digest", "start", "end")
     groups = contexts.where("gram is not null")
     counts = groups.groupBy("gram").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1")
