@@ -140,7 +140,8 @@ def test_factors_against_brute_force(spark, first, hot):
 
 def test_repeated_rows_are_one_document(spark):
     """The first of copies keeps its text, however often its row is there; a later copy loses it."""
-    text = "".join(random.Random(2).choice("abcdefgh") for _ in range(600))
+    rng = random.Random(2)
+    text = "".join(rng.choice("abcdefgh") for _ in range(600))
     rows = spark.createDataFrame([(1, text), (1, text), (2, text), (3, "x" + text[:450])], "doc_id bigint, text string")
     got = sorted((r.doc_id, r.n_removed) for r in factors.deduplicated(rows, keep="first").collect())
     assert got == [(1, 0), (1, 0), (2, 600), (3, 450)]
