@@ -1,14 +1,15 @@
-"""Command line: python -m lodestone scan|validate|measure|extract|finalize|publish|summary|repair|footer ..."""
+"""Command line: python -m lodestone scan|validate|measure|extract|finalize|publish|summary|repair|footer|card ..."""
 
 from __future__ import annotations
 
 import argparse
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 from .operators import finalize, profile, reports
 from .operators.resolve import labelled
-from .sources import corpus, gzip_repair, publish
+from .sources import card, corpus, gzip_repair, publish
 from .streaming.incremental import extract_new, extracted
 
 
@@ -22,7 +23,7 @@ def _files(spark: SparkSession, a: argparse.Namespace, profile_name: str) -> Dat
 
 def main(argv: list[str] | None = None) -> None:
     p = argparse.ArgumentParser(prog="lodestone")
-    p.add_argument("command", choices=["scan", "validate", "measure", "extract", "finalize", "publish", "summary", "repair", "footer"])
+    p.add_argument("command", choices=["scan", "validate", "measure", "extract", "finalize", "publish", "summary", "repair", "footer", "card"])
     p.add_argument("source")
     p.add_argument("--out", default="out")
     p.add_argument("--shards", type=int, default=0)
@@ -34,6 +35,7 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--config", choices=list(publish.QUALITY), default="helm_chart")
     p.add_argument("--codec", choices=publish.CODECS, default="zstd")
     p.add_argument("--sample", type=int, default=20)
+    p.add_argument("--samples", default="", help="a folder for the sampled units' files")
     a = p.parse_args(argv)
     spark = SparkSession.builder.appName(f"lodestone {a.command}").getOrCreate()
     save = lambda df, name: df.write.mode("overwrite").json(f"{a.out}/{name}")
@@ -70,9 +72,17 @@ def main(argv: list[str] | None = None) -> None:
             publish.write_config(units.where("_corrupt is null"), a.config, a.out, a.codec)
         else:
             save(profile.class_profile(units), "profile")
-            save(profile.stable_sample(units, a.sample), "sample")
+            sample = profile.stable_sample(units, a.sample)
+            save(sample, "sample")
+            if a.samples:
+                profile.write_folders(sample, a.samples)
     elif a.command == "repair":
         gzip_repair.repaired(gzip_repair.read_damaged(spark, a.source)).select("line").write.mode("errorifexists").option("compression", "gzip").text(a.out)
+    elif a.command == "card":
+        configs = [c for c in card.ORDER if Path(a.out, "data", c).is_dir()]
+        stats = publish.published_stats(a.out, spark, configs)
+        values = {"CONFIGS_TABLE": card.table(stats), "TOTAL_UNITS": f"{sum(s['rows'] for s in stats):,}"}
+        Path(a.out, "README.md").write_text(card.render(Path(a.source).read_text(encoding="utf-8"), values), encoding="utf-8")
     else:
         corpus.leaf_shares(corpus.footer(spark, a.source)).show(100, truncate=False)
 

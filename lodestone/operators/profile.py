@@ -83,3 +83,21 @@ def materialised_paths(units: DataFrame) -> DataFrame:
     name = F.concat_ws("__", F.regexp_replace("repo_path", r"[^A-Za-z0-9._-]", "_"), F.nullif(F.regexp_replace(F.coalesce("unit_prefix", F.lit("")), r"[^A-Za-z0-9._-]", "_"), F.lit("")))
     rest: Column = unit_relative(F.col("f.path"), F.coalesce("unit_prefix", F.lit("")), F.col("unit_type"))
     return rows.select("unit_type", "repo_path", "unit_prefix", F.concat_ws("/", "unit_type", name, F.regexp_replace(rest, r"[^A-Za-z0-9._/-]", "_")).alias("target"), F.col("f.content").alias("content"))
+
+
+def write_folders(sample: DataFrame, root: str) -> int:
+    """Puts each unit of a bounded sample into a folder of its own under root, with its provenance; returns how many files. Rows come to the driver one at a time."""
+    import json
+    from pathlib import Path
+
+    units, files = set(), 0
+    for row in materialised_paths(sample).toLocalIterator():
+        target = Path(root, *[part for part in row.target.split("/") if part not in ("", ".", "..")])
+        target.parent.mkdir(parents=True, exist_ok=True)
+        target.write_text(row.content or "", encoding="utf-8")
+        folder = Path(root, *row.target.split("/")[:2])
+        if folder not in units:
+            units.add(folder)
+            (folder / "_provenance.json").write_text(json.dumps({"unit_type": row.unit_type, "repo_path": row.repo_path, "unit_prefix": row.unit_prefix}), encoding="utf-8")
+        files += 1
+    return files

@@ -147,3 +147,22 @@ def test_card(spark):
         card.render("{{A}}", {"A": "x", "C": "y"})
     ordered = card.in_order(spark.createDataFrame([("new",), ("compose",), ("helm_chart",)], "config string"))
     assert [r.config for r in ordered.collect()] == ["helm_chart", "compose", "new"]
+
+
+def test_command_line(spark, tmp_path):
+    """From a corpus to a card, one command after another."""
+    from lodestone.__main__ import main
+
+    source, out = f"{tmp_path}/c", str(tmp_path / "out")
+    make_corpus(spark, source)
+    main(["scan", source, "--out", f"{out}/scan"])
+    assert spark.read.json(f"{out}/scan/tools").where("tool = 'dockerfile'").first().files == 3
+    main(["extract", source, "--out", out, "--run-tag", "a"])
+    main(["finalize", f"{out}/run=a/unit_type=dockerfile", "--config", "dockerfile", "--out", f"{out}/final"])
+    main(["publish", f"{out}/final/dockerfile", "--config", "dockerfile", "--out", out])
+    assert spark.read.parquet(f"{out}/data/dockerfile").where("flags.uses_latest_tag").count() == 2  # the third is a fork
+    main(["summary", f"{out}/final/dockerfile", "--config", "dockerfile", "--out", f"{out}/s", "--sample", "1", "--samples", f"{out}/folders"])
+    assert len(list((tmp_path / "out/folders").rglob("Dockerfile"))) == 1 == len(list((tmp_path / "out/folders").rglob("_provenance.json")))
+    (tmp_path / "t.md").write_text("{{TOTAL_UNITS}}\n{{CONFIGS_TABLE}}")
+    main(["card", f"{tmp_path}/t.md", "--out", out])
+    assert (tmp_path / "out/README.md").read_text().startswith("2\n| config")
