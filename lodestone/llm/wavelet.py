@@ -178,7 +178,7 @@ class ByteLevelEncoder:
         self.model, self.symbols = self.tokenizer.model, str.maketrans(dict(enumerate(byte_symbols())))
         self.piece = Memo(self.merged, 60_000)
         self.first = Memo(self.chunk, 20_000)
-        self.later = Memo(self.word, 350_000)
+        self.later = Memo(self.word, 700_000)
 
     def library(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
