@@ -101,8 +101,8 @@ class Vocabulary:
         self.block = b"".join(names)
         self.offsets = np.concatenate([[0], np.cumsum([len(x) for x in names])]).astype(np.int64)
         self.name_of = [self.block[a:b] for a, b in zip(self.offsets[:-1], self.offsets[1:], strict=True)]
-        self.ids_of_piece = Memo(lambda piece: array("I", self.encode_piece(piece)).tobytes(), 200_000)
-        self.ids_of = Memo(self._ids_of_chunk, 300_000)
+        self.ids_of_piece = Memo(lambda piece: array("I", self.encode_piece(piece)).tobytes(), 350_000)
+        self.ids_of = Memo(self._ids_of_chunk, 500_000)
 
     def _own(self, token: int, own: set[int]) -> bool:
         return token not in self.parts or token in own
