@@ -95,6 +95,31 @@ def test_jaccard_against_brute_force(spark):
             assert 100 * len(sets[r.a] & sets[r.b]) >= 80 * len(sets[r.a] | sets[r.b])
 
 
+def test_jaccard_of_repeated_rows_and_of_one_doc_id_on_two_texts(spark):
+    rng = random.Random(8)
+    base = [[rng.choice(WORDS) for _ in range(60)] for _ in range(12)]
+    rows = [(2 * k + i, " ".join(near(rng, b, i))) for k, b in enumerate(base) for i in (0, 1)]
+    a, b, c = ([rng.choice(WORDS) for _ in range(60)] for _ in range(3))
+    # 40 and 41 are linked through 50 only; 42 equals one text of 50; 51 has an empty text too; 52 has two near texts.
+    rows += [(40, " ".join(near(rng, a, 1))), (50, " ".join(a)), (50, " ".join(b)), (41, " ".join(near(rng, b, 1))), (42, " ".join(b))]
+    rows += [(51, ""), (51, " ".join(c)), (43, " ".join(c)), (52, " ".join(base[0])), (52, " ".join(near(rng, base[0], 1)))]
+    sets = [(i, frozenset(tuple(w[j : j + 5]) for j in range(max(1, len(w) - 4))) if (w := t.split()) else frozenset()) for i, t in rows]
+    component = {i: i for i, _ in rows}
+    for _ in rows:
+        for i, s in sets:
+            for j, t in sets:
+                if i != j and s & t and 100 * len(s & t) >= 80 * len(s | t):
+                    component[i] = component[j] = min(component[i], component[j])
+    assert len({component[2 * k] for k in range(12)}) == 12 and component[41] == 40 == component[42] and component[51] == 43 and component[52] == 0
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    for times in (1, 2, 3):
+        table = docs
+        for _ in range(times - 1):
+            table = table.unionAll(docs)
+        got = Counter((r.doc_id, r.n_shingles, r.component_id) for r in jaccard.similar(table)[0].collect())
+        assert got == Counter({k: n * times for k, n in Counter((i, len(s), component[i]) for i, s in sets).items()})
+
+
 def test_signature_tree_loses_no_pair():
     rng = np.random.default_rng(5)
     sets = []
