@@ -141,11 +141,11 @@ class Frame:
     start_ms: int
     delay_ms: int
     indices: np.ndarray
-    canvas: np.ndarray | None
+    canvas: np.ndarray
 
 
-def decode(file: bytes, canvas: bool = True) -> tuple[int, int, list[Frame]]:
-    """(width, height, frames). Without canvas, only the frames' indices are worked out."""
+def decode(file: bytes) -> tuple[int, int, list[Frame]]:
+    """(width, height, frames)."""
     if file[:6] not in (b"GIF87a", b"GIF89a"):
         raise ValueError("not a GIF")
     width, height, flags, background, _ = struct.unpack_from("<HHBBB", file, 6)
@@ -165,7 +165,7 @@ def decode(file: bytes, canvas: bool = True) -> tuple[int, int, list[Frame]]:
         return b"".join(parts), at + 1
 
     shared, at = palette(flags, at)
-    picture = np.zeros((height, width, 4), np.uint8) if canvas else None
+    picture = np.zeros((height, width, 4), np.uint8)
     frames, clock, disposal, delay, transparent = [], 0, 0, 0, None
     while at < len(file) and file[at] != 0x3B:
         if file[at] == 0x21:
@@ -182,28 +182,26 @@ def decode(file: bytes, canvas: bool = True) -> tuple[int, int, list[Frame]]:
         min_size = file[at]
         data, at = blocks(at + 1)
         indices = lzw_decode(data, min_size, w * h)
-        shown = None
-        if canvas:
-            grid = np.zeros(w * h, np.uint8)
-            grid[: len(indices)] = indices
-            grid = grid.reshape(h, w)
-            if flags & 0x40:
-                rows = np.concatenate([np.arange(s, h, step) for s, step in ((0, 8), (4, 8), (2, 4), (1, 2))])
-                straight = np.empty_like(grid)
-                straight[rows] = grid
-                grid = straight
-            before = picture.copy() if disposal == 3 else None
-            colours = own if own is not None else shared
-            h2, w2 = max(0, min(h, height - y)), max(0, min(w, width - x))
-            part = grid[:h2, :w2]
-            seen = np.ones(part.shape, bool) if transparent is None else part != transparent
-            area = picture[y : y + h2, x : x + w2]
-            area[seen] = np.concatenate([colours[np.minimum(part[seen], len(colours) - 1)], np.full((int(seen.sum()), 1), 255, np.uint8)], axis=1)
-            shown = picture.copy()
-            if disposal == 2:
-                area[:] = 0
-            elif disposal == 3:
-                picture = before
+        grid = np.zeros(w * h, np.uint8)
+        grid[: len(indices)] = indices
+        grid = grid.reshape(h, w)
+        if flags & 0x40:
+            rows = np.concatenate([np.arange(s, h, step) for s, step in ((0, 8), (4, 8), (2, 4), (1, 2))])
+            straight = np.empty_like(grid)
+            straight[rows] = grid
+            grid = straight
+        before = picture.copy() if disposal == 3 else None
+        colours = own if own is not None else shared
+        h2, w2 = max(0, min(h, height - y)), max(0, min(w, width - x))
+        part = grid[:h2, :w2]
+        seen = np.ones(part.shape, bool) if transparent is None else part != transparent
+        area = picture[y : y + h2, x : x + w2]
+        area[seen] = np.concatenate([colours[np.minimum(part[seen], len(colours) - 1)], np.full((int(seen.sum()), 1), 255, np.uint8)], axis=1)
+        shown = picture.copy()
+        if disposal == 2:
+            area[:] = 0
+        elif disposal == 3:
+            picture = before
         frames.append(Frame(clock * 10, delay * 10, indices, shown))
         clock, disposal, delay, transparent = clock + delay, 0, 0, None
     return width, height, frames
@@ -229,7 +227,7 @@ def stored(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
 
 
 def features(media: DataFrame, key: str = "doc_id") -> DataFrame:
-    """What is read back from the files: payload and media digests, and a feature of the samples' grey levels by frame."""
+    """What is read back from the files: payload and media digests, and a feature of the rendered frames: how many, the end of the last in ms, and the sums of their histograms."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = [key, "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"]
@@ -237,11 +235,10 @@ def features(media: DataFrame, key: str = "doc_id") -> DataFrame:
             out: list[list] = [[] for _ in names[2:]]
             for x in batch.column(2):
                 file = x.as_py()
-                _, _, frames = decode(file, canvas=False)
-                samples = np.concatenate([f.indices for f in frames])
-                payload = samples.tobytes()
-                levels = np.bincount(samples >> 5, minlength=BINS)
-                feature = f"{len(frames)}:" + ",".join(map(str, levels.tolist()))
+                _, _, frames = decode(file)
+                payload = b"".join(f.indices.tobytes() for f in frames)
+                levels = np.sum([histogram(f.canvas) for f in frames], axis=0)
+                feature = f"{len(frames)}:{frames[-1].start_ms + frames[-1].delay_ms}:" + ",".join(map(str, levels.tolist()))
                 values = (len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-32:]), len(file), hashlib.sha256(file).hexdigest(), feature)
                 for column, v in zip(out, values, strict=True):
                     column.append(v)

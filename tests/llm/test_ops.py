@@ -347,6 +347,15 @@ def test_gif_frames_table(spark):
     assert [(r.doc_id, r.frame, r.start_ms, r.height) for r in rows] == [(0, 0, 0, 24), (1, 0, 0, 1536), (1, 1, 100, 1536)]
 
 
+def test_gif_features_are_those_of_rendered_frames(spark):
+    docs = frame(spark, ["abc", "x" * 36_864 + "é" * 2000])
+    got = {r.doc_id: r.feature for r in gif.features(gif.stored(docs)).collect()}
+    for r in gif.frames_of(gif.stored(docs)).groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"), F.max(F.col("start_ms") + F.col("delay_ms")).alias("end"), F.collect_list("histogram").alias("h")).collect():
+        assert got[r.doc_id] == f"{r.n}:{r.end}:" + ",".join(map(str, np.sum(r.h, axis=0).tolist()))
+    # The second frame is shorter, and what the first one drew below it is still seen.
+    assert sum(map(int, got[1].split(":")[2].split(","))) == 2 * 36_864 * 3
+
+
 def test_warc(spark):
     big, small = "p" * 1500 + "é", "s" * 20
     html = [big, small, big, small, None, "", "q" * 1000, big]
