@@ -1,7 +1,7 @@
 """BPE encoding by backtracking over Aho-Corasick matches, and decoding by an offset table.
 
-The encoder never replays merges. One Aho-Corasick pass over a piece lists, for each
-start, the vocabulary tokens found there. Tokens are then laid from left to right, longest
+The encoder never replays merges. One Aho-Corasick pass over a piece finds, for each
+start, the longest vocabulary token there; a table has the next shorter ones. Tokens are then laid from left to right, longest
 first, each one checked against its left neighbour in a pair-compatibility table; when no
 token fits, the last one is taken back, and the position it led to is marked dead. As a
 text's prefix has one merge-exact encoding only, no position is entered twice, so time is
@@ -83,16 +83,16 @@ class Vocabulary:
             own.add(token)
             self.automaton.add_word(s, (token, len(s)))
         self.automaton.make_automaton()
-        #: For each path of the automaton's trie the longest token on it, and for each token the next shorter one on its own path.
-        self.longest: dict[str, tuple[int, int] | None] = {"": None}
+        #: For each token the next shorter one that it begins with.
+        longest: dict[str, tuple[int, int] | None] = {"": None}
         self.shorter: dict[int, tuple[int, int] | None] = {}
         self.length: dict[int, int] = {}
         for s, (token, n) in sorted(self.automaton.items(), key=lambda x: x[1][1]):
             for i in range(1, n):
-                if s[:i] not in self.longest:
-                    self.longest[s[:i]] = self.longest[s[: i - 1]]
-            self.shorter[token], self.length[token] = self.longest[s[:-1]], n
-            self.longest[s] = (token, n)
+                if s[:i] not in longest:
+                    longest[s[:i]] = longest[s[: i - 1]]
+            self.shorter[token], self.length[token] = longest[s[:-1]], n
+            longest[s] = (token, n)
         size = max([*ids.values(), *self.added.values()]) + 1
         names = [b""] * size
         for name, i in [*ids.items(), *self.added.items()]:
@@ -137,9 +137,11 @@ class Vocabulary:
             return [self.automaton.get(s)[0]]
         dead: set[int] = set()
         path: list[int] = []
-        size, at, prefix, longest, shorter, fits = len(s), 0, self.automaton.longest_prefix, self.longest, self.shorter, self.compatible
-        rest = s
-        found = longest[rest[: prefix(rest)]]
+        size, at, shorter, fits = len(s), 0, self.shorter, self.compatible
+        longest: list[tuple[int, int] | None] = [None] * size
+        for end, found in self.automaton.iter(s):  # by rising end: the last match of a start is its longest
+            longest[end + 1 - found[1]] = found
+        found = longest[0]
         while True:
             while found and ((at + found[1]) in dead or path and not fits[path[-1], found[0]]):
                 found = shorter[found[0]]
@@ -148,8 +150,7 @@ class Vocabulary:
                 at += found[1]
                 if at == size:
                     return path
-                rest = s[at:]
-                found = longest[rest[: prefix(rest)]]
+                found = longest[at]
             elif not path:
                 raise ValueError(f"the vocabulary can't spell {piece!r}")
             else:

@@ -266,6 +266,32 @@ def test_bpe_equals_the_library(spark):
         assert r.ids_sha256 == hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest()
 
 
+def test_bpe_scans_a_long_piece_once():
+    v = bpe.Vocabulary(tokenizer("word_bpe_49k.json"))
+
+    class Counted:
+        """The automaton, and how many characters it was handed."""
+
+        def __init__(self, automaton):
+            self.automaton, self.seen = automaton, 0
+
+        def __contains__(self, s):
+            return s in self.automaton
+
+        def __getattr__(self, name):
+            def call(s, *rest):
+                self.seen += len(s)
+                return getattr(self.automaton, name)(s, *rest)
+
+            return call
+
+    piece = "".join(random.Random(4).choice("etaoinshrdlu") for _ in range(5000))
+    want = v.encode_piece(piece)
+    assert "".join(v.name_of[i].decode() for i in want).removesuffix("</w>") == piece
+    v.automaton = Counted(v.automaton)
+    assert v.encode_piece(piece) == want and v.automaton.seen <= 2 * len(piece)
+
+
 def test_wavelet_files(spark, tmp_path):
     from tokenizers import Tokenizer
 
