@@ -1,10 +1,12 @@
-"""Suffix-array dedup: byte strings of a minimum length that occur again, found as long previous factors.
+"""Dedup of byte strings of a minimum length that occur again, by anchors and classes of equal windows.
 
 A position's longest previous factor is the longest string starting there that also starts at an
-earlier position; in suffix order it is the longer match with the nearest smaller position before
-or after it. Where it reaches min_length, the bytes it covers are a later copy. `longest_previous`
-is that array for one text. Over a table the suffixes of every position would be one global sort,
-so the order is built sparsely:
+earlier position; where it reaches min_length, the bytes it covers are a later copy. No such array
+is formed over a table, where the suffixes of every position would be one global sort. What is
+asked is only whether a factor reaches min_length, that is whether a window of that many bytes is
+there again, and this is decided exactly for classes of equal windows. `suffix_array` and
+`longest_previous` give the array for one text; the queries don't call them. The order of windows
+is built sparsely:
 
 1. Every window of min_length bytes has one anchor, the least-hashed gram of half that length in
    it, so equal windows have equal anchors at equal offsets. Anchors whose gram occurs once in the
