@@ -29,8 +29,6 @@ from ._common import written
 MIN_REVISIT = 1000
 ARCHIVE_BYTES = 8 << 20
 DICTIONARY_BYTES = 32 << 10
-#: Bytes of an archive's records that its dictionary is made from.
-TRAINING_BYTES = 2 << 20
 LEVEL = 6
 #: Magic number of the skippable frame that holds a dictionary in Zstandard WARC files.
 SKIPPABLE = 0x184D2A5D
@@ -64,17 +62,11 @@ def record(key: int | None, url: str, payload: bytes, kind: str, refers_to: int
 
 
 def dictionary_from(records: list[bytes]) -> bytes:
-    """A dictionary trained on the first records; what they begin with, where there are too few to train on."""
-    samples, size = [], 0
-    for r in records:
-        if size >= TRAINING_BYTES:
-            break
-        samples.append(r[: 64 << 10])
-        size += len(samples[-1])
+    """A dictionary trained on all records; what they begin with, where there are too few to train on."""
     try:
-        return zstandard.train_dictionary(min(DICTIONARY_BYTES, max(256, size // 8)), samples).as_bytes()
+        return zstandard.train_dictionary(min(DICTIONARY_BYTES, max(256, sum(map(len, records)) // 8)), records).as_bytes()
     except zstandard.ZstdError:
-        return b"".join(s[:2048] for s in samples)[-DICTIONARY_BYTES:] or b"WARC/1.1\r\n"
+        return b"".join(s[:2048] for s in records)[-DICTIONARY_BYTES:] or b"WARC/1.1\r\n"
 
 
 def archive(records: list[bytes]) -> bytes:

@@ -403,6 +403,16 @@ def test_warc(spark):
     assert {"Evil"}.isdisjoint(k for f in files.collect() for r in warc.records_of(bytes(f.file)) for k in r)
 
 
+def test_warc_dictionary_knows_late_records():
+    rng = np.random.default_rng(6)
+    early, late, deep = (rng.integers(0, 256, 400, np.uint8).tobytes() for _ in range(3))
+    noise = lambda n: rng.integers(0, 256, n, np.uint8).tobytes()
+    records = [early + noise(3600) for _ in range(600)] + [noise(70_000) + deep for _ in range(12)] + [late + noise(3600) for _ in range(600)]
+    raw = warc.dictionary_from(records)
+    for passage in (early, late, deep):
+        assert any(passage[i : i + 64] in raw for i in range(len(passage) - 64))
+
+
 def test_ordinal_on_held_out_rows(spark):
     sf = "/root/testdata/sf0.01"
     docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
