@@ -49,21 +49,28 @@ def words_of(text: Column) -> Column:
 
 class Memo(dict):
     """A dict that fills itself. It holds two generations at most: when the younger one has reached the bound, the older one is
-    forgotten, so a worker's memory stays bounded and what is often asked for stays."""
+    forgotten, and keys beyond LONGEST are worked out anew each time, so a worker's memory stays bounded and what is often asked for stays."""
+
+    LONGEST = 256
 
     def __init__(self, make: Callable, most: int = 400_000):
         super().__init__()
         self.make, self.most, self.older = make, most, {}
 
     def __missing__(self, key):
+        value = self.older.get(key)
+        return self.keep(key, self.make(key) if value is None else value)
+
+    def keep(self, key, value):
+        self.keep_all((key,), (value,))
+        return value
+
+    def keep_all(self, keys, values) -> None:
+        """Keeps a few entries at once."""
         if len(self) >= self.most:
             self.older = dict(self)
             self.clear()
-        value = self.older.get(key)
-        if value is None:
-            value = self.make(key)
-        self[key] = value
-        return value
+        self.update((k, v) for k, v in zip(keys, values, strict=True) if len(k) <= self.LONGEST)
 
 
 def runs(batches, key: int = 0):
