@@ -1,35 +1,40 @@
-"""Dedup of byte strings of a minimum length that occur again, by anchors and classes of equal windows.
+"""Dedup of byte strings of a minimum length that occur again, by longest-previous-factor values over sparse suffix order.
 
-A position's longest previous factor is the longest string starting there that also starts at an
-earlier position; where it reaches min_length, the bytes it covers are a later copy. No such array
-is formed over a table, where the suffixes of every position would be one global sort. What is
-asked is only whether a factor reaches min_length, that is whether a window of that many bytes is
-there again, and this is decided exactly for classes of equal windows. `suffix_array` and
-`longest_previous` give the array for one text; the queries don't call them. The order of windows
-is built sparsely:
+A position's longest previous factor (LPF) is the longest string starting there that also starts at
+an earlier position. It is the longer of the matches with the previous and with the next smaller
+position in suffix order. Where it reaches a minimum length, the bytes it covers are a later copy.
+A suffix array of all positions of a table would be one global sort; here suffix order is built
+where a factor of the minimum length can start at all:
 
 1. Every window of min_length bytes has one anchor, the least-hashed gram of half that length in
    it, so equal windows have equal anchors at equal offsets. Anchors whose gram occurs once in the
    table are dropped; that is nearly all of them.
-2. Rows are the remaining anchors with the bytes before and behind that a window can reach. Rows of
-   one gram are put in suffix order by the bytes behind and in reverse order by those before, each
-   with its array of longest common prefixes. A window that starts t bytes before the anchor recurs
-   where a run of rows agrees on t bytes before and on the rest behind; in that run the smaller
-   positions are the earlier occurrences, and the least one is the first.
-3. Windows found make spans, merged for each text and cut out.
+2. Rows are the remaining anchors with the bytes before and behind that a window can reach. Within a
+   gram, rows stand in suffix order of the bytes behind, and the common endings of the bytes before
+   make a tree. For each node of the tree, that is for the suffixes starting `depth` bytes before
+   their anchors, one pass for previous and next smaller positions gives the LPF of every row.
+3. A row's factors of sufficient length all hold its anchor, so they are one span; spans are merged
+   for each text and cut out.
+
+A gram with more than GROUP_ROWS rows is first divided: its earliest row is held against every
+other one, and only what extends beyond that match, to the left or to the right, goes on, into groups
+that agree on one byte more. Nothing is left out, and no task holds more than a bounded group.
 
 keep="none" removes every occurrence, keep="first" all but the first by (doc_id, position), in any
-case judged on the input. Whole copies of a text are handled by their digest, and a gram with more
-rows than HOT_ROWS by an exact aggregate over hashes of its windows, so no task holds a large group.
+case judged on the input. Whole copies of a text are handled by their digest. With `passages` also
+the text is returned of which later copies of that (smaller) length are cut, the first one staying.
 
-A null text is empty; texts shorter than min_length keep all bytes. Rows with a null doc_id take
-part as the first of all documents; rows that share a doc_id are told apart by their texts.
+A null text is empty; texts shorter than the minimum keep all bytes, however long ones are taken
+whole. Rows with a null doc_id take part as the first of all documents; rows that share a doc_id are
+told apart by their texts, and a row that is there twice is one document. An empty table gives an
+empty result. Extra columns, whatever their names, are carried by whole_rows and else ignored.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -41,7 +46,10 @@ from pyspark.sql.types import LongType, StructField, StructType
 from ._common import runs, written
 
 MIN_LENGTH = 400
-HOT_ROWS = 40_000
+#: Bytes of a passage: 51 words, at the least of 4.9 bytes a word with its blank that ordinary text has.
+PASSAGE = 250
+#: Rows of a gram that a task looks at together; more are divided first.
+GROUP_ROWS = 2_000
 #: Grams looked at together, and bits of their places in a combined value.
 PLACE_BITS = 20
 BATCH_ROWS = 8_192
@@ -98,51 +106,6 @@ def anchors(data: np.ndarray, min_length: int = MIN_LENGTH) -> tuple[np.ndarray,
     return places, h[places]
 
 
-def suffix_array(data: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """(order, lcp) of one text by prefix doubling; lcp[i] is with the suffix before."""
-    n = len(data)
-    rank = np.frombuffer(data, np.uint8).astype(np.int64) + 1
-    step, order = 1, np.argsort(rank, kind="stable")
-    while n > 1:
-        second = np.zeros(n, np.int64)
-        second[: max(0, n - step)] = rank[step:]
-        order = np.lexsort((second, rank))
-        new = np.concatenate([[0], np.cumsum((rank[order][1:] != rank[order][:-1]) | (second[order][1:] != second[order][:-1]))]) + 1
-        rank = np.empty(n, np.int64)
-        rank[order] = new
-        if new[-1] == n:
-            break
-        step *= 2
-    lcp, h, at = np.zeros(n, np.int64), 0, np.empty(n, np.int64)
-    at[order] = np.arange(n)
-    for i in range(n):
-        if at[i]:
-            j = order[at[i] - 1]
-            while i + h < n and j + h < n and data[i + h] == data[j + h]:
-                h += 1
-            lcp[at[i]] = h
-            h = max(0, h - 1)
-        else:
-            h = 0
-    return order, lcp
-
-
-def longest_previous(order: np.ndarray, lcp: np.ndarray) -> np.ndarray:
-    """The LPF array from suffix order: the longer match with the previous and the next smaller position, both found by one stack."""
-    n = len(order)
-    out = np.zeros(n, np.int64)
-    stack: list[tuple[int, int]] = []  # (position, match with the entry below)
-    for i in range(n + 1):
-        place, match = (int(order[i]), int(lcp[i])) if i < n else (-1, 0)
-        while stack and stack[-1][0] > place:
-            top, below = stack.pop()
-            out[top] = max(below, match)  # previous smaller: below; next smaller: this one
-            match = min(match, below)
-        if i < n:
-            stack.append((place, match if stack else 0))
-    return out
-
-
 def agreement(rows: np.ndarray, lengths: np.ndarray, group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(order, lcp) of fixed-width byte rows within groups; bytes are 1 to 255, and 0 pads."""
     tagged = np.concatenate([group.astype(">u4").view(np.uint8).reshape(-1, 4) | 0, rows], axis=1)
@@ -158,53 +121,92 @@ def agreement(rows: np.ndarray, lengths: np.ndarray, group: np.ndarray) -> tuple
     return order, lcp
 
 
-def recurring(group: np.ndarray, left: list[bytes], right: list[bytes], position: np.ndarray, reach: int, first: bool) -> Iterator[tuple[np.ndarray, int]]:
-    """For each offset t the rows whose window recurs in their group. left is reversed. position orders occurrences; with first, the least of a run is left out."""
+def smaller_before(values: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """For each place the nearest one before it with a smaller value, -1 for none, by pointer jumping; at: the place before, or -1 where none may be passed."""
+    while True:
+        live = np.flatnonzero(at >= 0)
+        over = live[values[at[live]] >= values[live]]
+        if not len(over):
+            return at
+        at[over] = at[at[over]]
+
+
+def smaller_on_both_sides(values: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(previous, next) smaller places within runs; first marks where a run begins; -1 for none."""
+    n = len(values)
+    before = smaller_before(values, np.where(first, -1, np.arange(n) - 1))
+    ends = np.append(first[1:], True)[::-1]
+    after = smaller_before(values[::-1], np.where(ends, -1, np.arange(n) - 1))[::-1]
+    return before, np.where(after < 0, -1, n - 1 - after)
+
+
+class RangeMinimum:
+    def __init__(self, values: np.ndarray):
+        self.levels = [values]
+        while 2 << (len(self.levels) - 1) <= len(values):
+            below, half = self.levels[-1], 1 << (len(self.levels) - 1)
+            self.levels.append(np.minimum(below[:-half], below[half:]))
+
+    def __call__(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """The least value in places start to end - 1 of each pair."""
+        out = np.empty(len(start), np.int64)
+        level = np.frexp((end - start).astype(np.float64))[1] - 1
+        for k in np.unique(level):
+            at = level == k
+            out[at] = np.minimum(self.levels[k][start[at]], self.levels[k][end[at] - (1 << int(k))])
+        return out
+
+
+def side(contexts: list[bytes], reach: int) -> tuple[np.ndarray, np.ndarray]:
+    """Contexts as rows of a fixed width, bytes 1 to 255 and 0 behind the end, and their lengths."""
+    size = np.array([len(x) for x in contexts], np.int64)
+    m = np.zeros((len(contexts), reach), np.uint8)
+    m[np.arange(reach) < size[:, None]] = np.frombuffer(b"".join(contexts), np.uint8) + 1
+    return m, size
+
+
+def longest_factors(group: np.ndarray, left: list[bytes], right: list[bytes], reach: tuple[int, int]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(row, depth, previous, any) for the suffixes that start depth bytes before their anchors: how far behind the gram the longest
+    match with an earlier row, and with any other, goes; -1 for none. Rows stand in the order of their positions within their group; left is reversed."""
     n = len(left)
-    matrix, lengths = [], []
-    for side in (left, right):
-        m = np.zeros((n, reach), np.uint8)
-        size = np.array([len(x) for x in side])
-        m[np.arange(reach) < size[:, None]] = np.frombuffer(b"".join(side), np.uint8) + 1
-        matrix.append(m)
-        lengths.append(size)
-    (lo, ll), (ro, rl) = (agreement(m, size, group) for m, size in zip(matrix, lengths, strict=True))
-    for t in range(reach + 1):
-        classes = []
-        for order, lcp, need in ((lo, ll, t), (ro, rl, reach - t)):
-            c = np.empty(n, np.int64)
-            c[order] = np.cumsum(lcp < need)
-            classes.append(c)
-        enough = np.flatnonzero((lengths[0] >= t) & (lengths[1] >= reach - t))
-        both = classes[0][enough] * np.int64(n + 1) + classes[1][enough]
-        order = np.lexsort((position[enough], both))
-        same = both[order][1:] == both[order][:-1]
-        earlier = np.concatenate([[False], same])  # a smaller position stands before it in its run
-        later = np.concatenate([same, [False]])
-        flagged = enough[order[earlier if first else earlier | later]]
-        if len(flagged):
-            yield flagged, t
-
-
-def spans_of(flags: Iterator[tuple[np.ndarray, int]], places: np.ndarray, min_length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(row, start, end) for each row's runs of consecutive offsets. flags come by rising offset; only runs that are open are held."""
-    since, before, last, out = np.zeros(len(places), np.int64), np.zeros(len(places), bool), -1, [[], [], []]
-
-    def close(rows: np.ndarray, t: int) -> None:
-        for column, values in zip(out, (rows, places[rows] - t, places[rows] - since[rows] + min_length), strict=True):
-            column.append(values)
-
-    for rows, t in flags:
-        if t > last + 1:
-            close(np.flatnonzero(before), last)
-            before[:] = False
-        now = np.zeros(len(places), bool)
-        now[rows] = True
-        close(np.flatnonzero(before & ~now), last)
-        since[now & ~before] = t
-        before, last = now, t
-    close(np.flatnonzero(before), last)
-    return tuple(np.concatenate(c) if c else np.empty(0, np.int64) for c in out)
+    lo, ll = agreement(*side(left, reach[0]), group)
+    ro, rl = agreement(*side(right, reach[1]), group)
+    rank = np.empty(n, np.int64)
+    rank[ro] = np.arange(n)
+    least = RangeMinimum(rl)
+    # The tree over common endings: each of its nodes is a run of rows in left order, bounded by smaller agreements.
+    low, high = smaller_on_both_sides(ll, np.arange(n) == 0)
+    inner = np.flatnonzero(ll >= 0)
+    runs_, at = np.unique(low[inner] * np.int64(n + 1) + np.where(high[inner] < 0, n, high[inner]), return_index=True)
+    starts, stops, depth = runs_ // (n + 1), runs_ % (n + 1), ll[inner[at]]
+    sizes = stops - starts
+    node = np.repeat(np.arange(len(sizes)), sizes)
+    row = lo[np.repeat(starts - (np.cumsum(sizes) - sizes), sizes) + np.arange(int(sizes.sum()))]
+    order = np.lexsort((rank[row], node))
+    node, row = node[order], row[order]
+    place = rank[row]
+    first = np.append(True, node[1:] != node[:-1]) if len(node) else np.empty(0, bool)
+    before, after = smaller_on_both_sides(row, first)
+
+    def match(i: np.ndarray, j: np.ndarray, there: np.ndarray) -> np.ndarray:
+        out = np.full(len(row), -1, np.int64)
+        out[there] = least(place[i[there]] + 1, place[j[there]] + 1)
+        return out
+
+    every = np.arange(len(row))
+    previous = np.maximum(match(before, every, before >= 0), match(every, after, after >= 0))
+    last = np.append(first[1:], True) if len(node) else first
+    return row, depth[node], previous, np.maximum(match(every - 1, every, ~first), match(every, every + 1, ~last))
+
+
+def spans_of(row: np.ndarray, depth: np.ndarray, beyond: np.ndarray, k: int, least: int | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(rows, bytes before the anchor, bytes behind the gram) of each row's factors of at least so many bytes; they overlap in the anchor, so they are one span."""
+    held = np.flatnonzero((beyond >= 0) & (depth + k + beyond >= least)) if least else np.empty(0, np.int64)
+    rows, at = np.unique(row[held], return_inverse=True)
+    out = np.zeros((2, len(rows)), np.int64)
+    np.maximum.at(out[0], at, depth[held])
+    np.maximum.at(out[1], at, beyond[held])
+    return rows, out[0], out[1]
 
 
 def _texts(docs: DataFrame, key: str, text: str) -> DataFrame:
@@ -237,14 +239,45 @@ def _anchored(docs: DataFrame, min_length: int) -> DataFrame:
     return docs.mapInArrow(run, "gram bigint, id bigint, digest bigint, often boolean")
 
 
-def _contexts(docs: DataFrame, min_length: int, first: bool) -> DataFrame:
-    """For texts with the grams that are repeated: their anchors are found again. Rows (gram, id, digest, place, left, right), and rows of spans that repeat within the text itself."""
-    reach = min_length // 2 - 1
-    k = min_length - reach
+class Lengths(NamedTuple):
+    """Minimum lengths: of factors that occur earlier (`first`) and of those that occur anywhere else (`any`)."""
+
+    first: int | None
+    any: int | None
+
+    @property
+    def least(self) -> int:
+        return min(x for x in self if x)
+
+    @property
+    def gram(self) -> int:
+        return self.least - self.least // 2 + 1
+
+    @property
+    def reach(self) -> tuple[int, int]:
+        """Bytes before an anchor and behind its gram that the longest window can hold."""
+        return self.least // 2 - 1, max(x for x in self if x) - self.gram
+
+
+_SPAN = "id bigint, digest bigint, start bigint, end bigint, earlier boolean"
+
+
+def _span_batch(ids: pa.Array, digests: pa.Array, places: np.ndarray, found: dict[bool, tuple], k: int) -> pa.RecordBatch:
+    rows = np.concatenate([found[e][0] for e in (True, False)])
+    start = np.concatenate([places[r] - d for r, d, _ in (found[e] for e in (True, False))])
+    end = np.concatenate([places[r] + k + f for r, _, f in (found[e] for e in (True, False))])
+    earlier = np.repeat([True, False], [len(found[True][0]), len(found[False][0])])
+    at = pa.array(rows, pa.int64())
+    return pa.RecordBatch.from_arrays([ids.take(at), digests.take(at), pa.array(start, pa.int64()), pa.array(end, pa.int64()), pa.array(earlier)], names=["id", "digest", "start", "end", "earlier"])
+
+
+def _contexts(docs: DataFrame, lengths: Lengths) -> DataFrame:
+    """For texts with the grams that are repeated: their anchors are found again. Rows (gram, id, digest, place, left, right), and spans of contexts that repeat within the text itself."""
+    k, (before, behind) = lengths.gram, lengths.reach
+    names = ["gram", "id", "digest", "place", "left", "right", "start", "end", "earlier"]
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.bool_()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["gram", "id", "digest", "place", "left", "right", "start", "end"]
-        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.int64(), pa.int64()]
         for batch in batches:
             rows: list[list] = [[] for _ in names]
 
@@ -256,39 +289,43 @@ def _contexts(docs: DataFrame, min_length: int, first: bool) -> DataFrame:
                 raw = x.as_py()
                 (d,) = np.frombuffer(_digest(raw), np.int64)[:1].tolist()
                 seen: dict[tuple, list[int]] = {}
-                places, h = anchors(np.frombuffer(raw, np.uint8), min_length)
+                places, h = anchors(np.frombuffer(raw, np.uint8), lengths.least)
                 wanted = np.isin(h.view(np.int64), grams.values.to_numpy())
                 for place, gram in zip(places[wanted].tolist(), h.view(np.int64)[wanted].tolist(), strict=True):
-                    left, right = raw[max(0, place - reach) : place][::-1], raw[place + k : place + k + reach]
+                    left, right = raw[max(0, place - before) : place][::-1], raw[place + k : place + k + behind]
                     seen.setdefault((gram, left, right), []).append(place)
                 for (gram, left, right), at in seen.items():
-                    add(gram, key, d, at[0], left, right, None, None)
-                    for p in (at[1:] if first else at) if len(at) > 1 else []:
-                        if len(left) + len(right) >= reach:
-                            add(None, key, d, None, None, None, p - len(left), p + k + len(right))
+                    add(gram, key, d, at[0], left, right, None, None, None)
+                    size = len(left) + k + len(right)
+                    for earlier, least, again in ((True, lengths.first, at[1:]), (False, lengths.any, at)):
+                        if least and size >= least and len(at) > 1:
+                            for p in again:
+                                add(None, key, d, None, None, None, p - len(left), p + k + len(right), earlier)
                 if len(rows[0]) > BATCH_ROWS:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(rows, kinds, strict=True)], names=names)
                     for c in rows:
                         c.clear()
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(rows, kinds, strict=True)], names=names)
 
-    return docs.mapInArrow(run, "gram bigint, id bigint, digest bigint, place int, left binary, right binary, start bigint, end bigint")
+    return docs.mapInArrow(run, "gram bigint, id bigint, digest bigint, place int, left binary, right binary, start bigint, end bigint, earlier boolean")
+
+
+_ROW = ["gram", "id", "digest", "place", "left", "right"]
 
 
-def _grouped(rows: DataFrame, min_length: int, first: bool) -> DataFrame:
-    """Spans (id, digest, start, end) from context rows, gram by gram; many small groups are worked on together."""
-    reach = min_length // 2 - 1
+def _grouped(rows: DataFrame, lengths: Lengths) -> DataFrame:
+    """Spans from the rows of grams, gram by gram; many small groups are worked on together."""
+    k = lengths.gram
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
 
         def work() -> pa.RecordBatch:
-            t = pa.concat_tables([x for _, x in held])
+            t = pa.concat_tables([x for _, x in held]).combine_chunks()
             group = np.repeat(np.arange(1, len(held) + 1), [x.num_rows for _, x in held])
-            places = t.column(3).to_numpy().astype(np.int64)
-            flags = recurring(group, t.column(4).to_pylist(), t.column(5).to_pylist(), np.arange(len(places)), reach, first)
-            row, start, end = spans_of(flags, places, min_length)
-            return pa.RecordBatch.from_arrays([t.column(1).combine_chunks().take(pa.array(row)), t.column(2).combine_chunks().take(pa.array(row)), pa.array(start), pa.array(end)], names=["id", "digest", "start", "end"])
+            row, depth, previous, other = longest_factors(group, t.column(4).to_pylist(), t.column(5).to_pylist(), lengths.reach)
+            found = {True: spans_of(row, depth, previous, k, lengths.first), False: spans_of(row, depth, other, k, lengths.any)}
+            return _span_batch(t.column(1).chunk(0), t.column(2).chunk(0), t.column(3).to_numpy().astype(np.int64), found, k)
 
         for gram, t in runs(batches):
             d, p = t.column(2).to_numpy(), t.column(3).to_numpy()
@@ -302,61 +339,87 @@ def _grouped(rows: DataFrame, min_length: int, first: bool) -> DataFrame:
         if held:
             yield work()
 
-    ordered = rows.repartition("gram").sortWithinPartitions("gram", F.col("id").asc_nulls_first(), "digest", "place")
-    return ordered.select("gram", "id", "digest", "place", "left", "right").mapInArrow(run, "id bigint, digest bigint, start bigint, end bigint")
+    ordered = rows.select(*_ROW).repartition("gram").sortWithinPartitions("gram", F.col("id").asc_nulls_first(), "digest", "place")
+    return ordered.mapInArrow(run, _SPAN)
 
 
-def _hashed(rows: DataFrame, min_length: int, first: bool) -> DataFrame:
-    """The same for grams with more rows than a task should hold: an aggregate over hashes of their windows."""
-    reach = min_length // 2 - 1
+def _divided(rows: DataFrame, lengths: Lengths) -> DataFrame:
+    """Holds every row of a group against the group's earliest one. Gives spans, and rows again: those whose context goes on beyond the
+    match, in groups that agree with them on it and one byte more. Any longer match of two rows lies within such a group.
+    Offsets from `low` to `high` are what a group still has to answer for."""
+    k, far = lengths.gram, lengths.reach[1] + lengths.gram
+    position = F.struct(F.coalesce("id", F.lit(-(1 << 63))).alias("id"), "digest", "place")
+    first = rows.groupBy("gram").agg(F.min_by(F.struct("id", "digest", "place", "left", "right"), position).alias("f"))
+    both = rows.join(first, "gram").select(*_ROW, "low", "high", *[F.col(f"f.{c}").alias(f"f_{c}") for c in _ROW[1:]])
+    names = [*_ROW, "low", "high", "start", "end", "earlier"]
+
+    def key(gram: int, kind: bytes, context: bytes) -> int:
+        return xxhash.xxh64_intdigest(kind + context, seed=gram & (1 << 64) - 1) - (1 << 63)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for gram, key, d, place, left, right in zip(*(batch.column(i).to_pylist() for i in range(6)), strict=True):
-                low, high = max(0, reach - len(right)), min(reach, len(left))
-                offsets = list(range(low, high + 1))
-                windows = [xxhash.xxh64_intdigest(left[:t][::-1] + b"|" + right[: reach - t], seed=gram & 0xFFFFFFFF) - (1 << 63) for t in offsets]
-                n = len(offsets)
-                yield pa.RecordBatch.from_arrays([pa.array(windows, pa.int64()), pa.array([gram] * n, pa.int64()), pa.array([key] * n, pa.int64()), pa.array([d] * n, pa.int64()), pa.array([place] * n, pa.int32()), pa.array(offsets, pa.int32())], names=["window", "gram", "id", "digest", "place", "t"])
+            columns = [c.to_pylist() for c in batch.columns]
+            (left, nl), (right, nr), (fl, nfl), (fr, nfr) = (side(columns[i], lengths.reach[r]) for i, r in ((4, 0), (5, 1), (11, 0), (12, 1)))
+            same = [np.minimum(np.where(d.any(axis=1), d.argmax(axis=1), d.shape[1]), np.minimum(a, b)).tolist() for d, a, b in ((left != fl, nl, nfl), (right != fr, nr, nfr))]
+            out: list[list] = [[] for _ in names]
+            again: dict[tuple, list[int]] = {}
+            for i, (gram, id_, digest, place, left_, right_, low, high, f_id, f_digest, f_place, *_) in enumerate(zip(*columns, strict=True)):
+                if (digest, place) == (f_digest, f_place):
+                    continue  # the earliest row itself
+                a, b = same[0][i], same[1][i]
+                new = []
+                for earlier, least in ((True, lengths.first), (False, lengths.any)):
+                    if least and a + k + b >= least:
+                        new.append((None, id_, digest, None, None, None, None, None, place - a, place + k + b, earlier))
+                        if not earlier:
+                            end = again.setdefault((f_id, f_digest, f_place), [0, 0])
+                            end[:] = max(end[0], a), max(end[1], b)
+                if a < min(len(left_), high):
+                    new.append((key(gram, b"l", left_[: a + 1]), id_, digest, place, left_, right_, max(low, a + 1), high, None, None, None))
+                if b < len(right_) and (top := min(high, a, far - k - b - 1)) >= low:
+                    new.append((key(gram, b"r", right_[: b + 1]), id_, digest, place, left_, right_, low, top, None, None, None))
+                for values in new:
+                    for column, v in zip(out, values, strict=True):
+                        column.append(v)
+            for (id_, digest, place), (a, b) in again.items():  # the earliest row occurs again, too
+                for column, v in zip(out, (None, id_, digest, None, None, None, None, None, place - a, place + k + b, False), strict=True):
+                    column.append(v)
+            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.bool_()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, kinds, strict=True)], names=names)
 
-    windows = rows.select("gram", "id", "digest", "place", "left", "right").mapInArrow(run, "window bigint, gram bigint, id bigint, digest bigint, place int, t int")
-    at = F.struct(F.coalesce("id", F.lit(-(1 << 63))).alias("id"), "place", "digest")
-    found = windows.groupBy("gram", "window", "t").agg(F.min(at).alias("low"), F.max(at).alias("high")).where("low <> high")
-    back = windows.join(found, ["gram", "window", "t"])
-    if first:
-        back = back.where(at != F.col("low"))
-    return back.select("id", "digest", (F.col("place") - F.col("t")).cast("long").alias("start"), (F.col("place") - F.col("t") + min_length).cast("long").alias("end"))
+    return both.mapInArrow(run, "gram bigint, id bigint, digest bigint, place int, left binary, right binary, low int, high int, start bigint, end bigint, earlier boolean")
 
 
-def _cut(texts: DataFrame, min_length: int, tail) -> DataFrame:
-    """Applies spans: rows (id, text, n, spans, whole) to (id, n_bytes, n_removed, n_spans, kept_sha256) or, with tail, to whole rows and their kept text."""
+def _cut(texts: DataFrame, lengths: Lengths, own: list[str], text_out: bool) -> DataFrame:
+    """Applies spans to rows (own columns, text, spans, whole, later): own columns, the numbers and, if asked for, the text without later copies."""
+    numbers = ["n_bytes", "n_removed", "n_spans", "kept_sha256"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes, removed, count, digests, kept = [], [], [], [], []
-            for x, spans, whole in zip(batch.column("text").cast(pa.binary()), batch.column("spans"), batch.column("whole").to_pylist(), strict=True):
+            sizes, removed, count, digests, cut, kept = [], [], [], [], [], []
+            for x, spans, whole, later in zip(batch.column("text").cast(pa.binary()), batch.column("spans").to_pylist(), batch.column("whole").to_pylist(), batch.column("later").to_pylist(), strict=True):
                 raw = x.as_py()
-                merged = [[0, len(raw)]] if whole and raw else merge([(s["start"].as_py(), s["end"].as_py()) for s in spans] if spans.is_valid else [])
-                rest = remaining(raw, merged)
+                of = [merge([(s["start"], s["end"]) for s in spans or [] if s["earlier"] is e]) for e in (True, False)]
+                if later and raw:
+                    of[0] = [[0, len(raw)]]
+                if whole and raw:
+                    of[1] = [[0, len(raw)]]
+                merged = of[1] if lengths.any else of[0]
                 sizes.append(len(raw))
                 removed.append(sum(b - a for a, b in merged))
                 count.append(len(merged))
-                digests.append(hashlib.sha256(rest).hexdigest())
-                if tail:
-                    kept.append(remaining(raw, [inward(raw, a, b) for a, b in merged]).decode("utf-8", "ignore"))
-            more = [pa.array(sizes, pa.int64()), pa.array(removed, pa.int64()), pa.array(count, pa.int64()), pa.array(digests, pa.string())]
-            names = ["n_bytes", "n_removed", "n_spans", "kept_sha256"]
-            if tail:
-                own = [n for n in batch.schema.names if n not in ("text", "spans", "whole")]
-                yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in own), pa.array(kept, pa.string()), *more], names=[*own, "kept_text", *names])
-            else:
-                yield pa.RecordBatch.from_arrays([batch.column("id"), *more], names=["id", *names])
-
-    numbers = "n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string"
-    if not tail:
-        return texts.select("id", "text", "spans", "whole").mapInArrow(run, f"id bigint, {numbers}")
-    own = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in texts.schema if f.name not in ("text", "spans", "whole"))
-    return texts.mapInArrow(run, f"{own}, kept_text string, {numbers}")
+                digests.append(hashlib.sha256(remaining(raw, merged)).hexdigest())
+                if text_out:
+                    cut.append(sum(b - a for a, b in of[0]))
+                    kept.append(remaining(raw, [inward(raw, a, b) for a, b in of[0]]).decode("utf-8", "ignore"))
+            out = [*(batch.column(c) for c in own), pa.array(sizes, pa.int64()), pa.array(removed, pa.int64()), pa.array(count, pa.int64()), pa.array(digests, pa.string())]
+            if text_out:
+                out += [pa.array(cut, pa.int64()), pa.array(kept, pa.string())]
+            yield pa.RecordBatch.from_arrays(out, names=[*own, *numbers, *["passage_bytes", "kept_text"] * text_out])
+
+    fields = ", ".join(f"`{c}` {texts.schema[c].dataType.simpleString()}" for c in own)
+    schema = f"{fields}, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string" + ", passage_bytes bigint, kept_text string" * text_out
+    return texts.select(*own, "text", "spans", "whole", "later").mapInArrow(run, schema)
 
 
 def merge(spans: list[tuple[int, int]]) -> list[list[int]]:
@@ -387,8 +450,8 @@ def inward(raw: bytes, a: int, b: int) -> tuple[int, int]:
     return a, b
 
 
-def repeated_spans(docs: DataFrame, min_length: int = MIN_LENGTH, first: bool = False, hot_rows: int = HOT_ROWS) -> tuple[DataFrame, DataFrame]:
-    """(spans, copies) of a table (id, text). spans: id, digest, start, end for the representative of each text. copies: digest, keeper and count of texts."""
+def repeated_spans(docs: DataFrame, lengths: Lengths, group_rows: int = GROUP_ROWS) -> tuple[DataFrame, DataFrame]:
+    """(spans, copies) of a table (id, text). spans: id, digest, start, end, earlier for the representative of each text. copies: digest, keeper and count of texts."""
 
     def digested(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -400,29 +463,37 @@ def repeated_spans(docs: DataFrame, min_length: int = MIN_LENGTH, first: bool =
     copies = written(rows.groupBy("digest").agg(low.alias("keeper"), F.count(F.lit(1)).alias("copies"), F.max("n").alias("n")), "copies")
     # Copies of a text are put together before anything is dealt by gram, so a large group of them is no hot key; a gram that many
     # texts share is counted before its shuffle, and the join's large partitions can be split.
-    found = _anchored(docs, min_length).groupBy("gram", "digest").agg(low.alias("keeper"), F.max("often").alias("often"))
+    found = _anchored(docs, lengths.least).groupBy("gram", "digest").agg(low.alias("keeper"), F.max("often").alias("often"))
     grams = found.groupBy("gram").agg(F.count(F.lit(1)).alias("rows"), F.max("often").alias("any")).where("rows > 1 or any").select("gram")
     kept = found.join(grams, "gram").groupBy("keeper", "digest").agg(F.collect_set("gram").alias("grams"))
     both = docs.withColumn("_id", F.coalesce("id", F.lit(-(1 << 63)))).join(kept.select(F.col("keeper").alias("_id"), "grams"), "_id")
-    contexts = written(_contexts(both.select("id", "text", "grams"), min_length, first), "contexts")
-    own = contexts.where("gram is null").select("id", "digest", "start", "end")
-    groups = contexts.where("gram is not null")
-    counts = groups.groupBy("gram").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1")
-    small = groups.join(counts.where(F.col("rows") <= hot_rows), "gram", "left_semi")
-    spans = own.unionAll(_grouped(small, min_length, first))
-    hot = counts.where(F.col("rows") > hot_rows)
-    if hot.limit(1).count():
-        spans = spans.unionAll(_hashed(groups.join(hot, "gram", "left_semi"), min_length, first))
-    return spans, copies
-
-
-def deduplicated(docs: DataFrame, key: str = "doc_id", text: str = "text", min_length: int = MIN_LENGTH, keep: str = "none", hot_rows: int = HOT_ROWS, whole_rows: bool = False) -> DataFrame:
-    """key, n_bytes, n_removed, n_spans and kept_sha256 of every row; with whole_rows, docs' own columns with the text that is left."""
-    first = keep == "first"
+    contexts = written(_contexts(both.select("id", "text", "grams"), lengths), "contexts")
+    span = ["id", "digest", "start", "end", "earlier"]
+    spans = contexts.where("gram is null").select(*span)
+    groups = contexts.where("gram is not null").select(*_ROW)
+    while True:
+        counts = groups.groupBy("gram").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1")
+        spans = spans.unionAll(_grouped(groups.join(counts.where(F.col("rows") <= group_rows), "gram", "left_semi"), lengths))
+        large = counts.where(F.col("rows") > group_rows).select("gram")
+        if not large.limit(1).count():
+            return spans, copies
+        groups = groups.join(large, "gram", "left_semi")
+        if "low" not in groups.columns:
+            groups = groups.withColumns({"low": F.lit(0), "high": F.lit(lengths.reach[0])})
+        made = written(_divided(groups, lengths), "divided")
+        spans = spans.unionAll(made.where("gram is null").select(*span).distinct())
+        groups = made.where("gram is not null").select(*_ROW, "low", "high")
+
+
+def deduplicated(docs: DataFrame, key: str = "doc_id", text: str = "text", min_length: int = MIN_LENGTH, keep: str = "none", passages: int | None = None, group_rows: int = GROUP_ROWS, whole_rows: bool = False) -> DataFrame:
+    """key, n_bytes, n_removed, n_spans and kept_sha256 of every row; with whole_rows and keep="first", docs' own columns with the text that is left.
+
+    With passages, keep="none" adds passage_bytes and text: bytes of later copies of strings of that length, and the text without them."""
+    lengths = Lengths(min_length if keep == "first" else passages, None if keep == "first" else min_length)
     rows = _texts(docs, key, text)
-    spans, copies = repeated_spans(rows, min_length, first, hot_rows)
-    by_text = spans.groupBy("digest").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
-    facts = copies.join(by_text, "digest", "left").where((F.col("copies") > 1) & (F.col("n") >= min_length) | F.col("spans").isNotNull())
+    spans, copies = repeated_spans(rows, lengths, group_rows)
+    by_text = spans.groupBy("digest").agg(F.collect_set(F.struct("start", "end", "earlier")).alias("spans"))
+    facts = copies.join(by_text, "digest", "left").where((F.col("copies") > 1) & (F.col("n") >= lengths.least) | F.col("spans").isNotNull())
 
     def digested(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -434,11 +505,14 @@ def deduplicated(docs: DataFrame, key: str = "doc_id", text: str = "text", min_l
     source = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)], F.col(key).cast("long").alias("id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
     tagged = source.mapInArrow(digested, StructType([*source.schema.fields, StructField("own", LongType())]))
     held = tagged.join(facts, tagged["own"] == facts["digest"], "left")
-    many = (F.col("copies") > 1) & (F.col("n") >= min_length)
+    many = lambda least: (F.col("copies") > 1) & (F.col("n") >= F.lit(least))
     # Of whole copies the least doc_id is the first; rows of one doc_id with one text count as one document.
-    later = many & (F.coalesce("id", F.lit(-(1 << 63))) != F.col("keeper")) if first else many
-    held = held.withColumn("whole", F.coalesce(later, F.lit(False)))
+    held = held.withColumns({
+        "whole": F.coalesce(many(lengths.any), F.lit(False)),
+        "later": F.coalesce(many(lengths.first) & (F.coalesce("id", F.lit(-(1 << 63))) != F.col("keeper")), F.lit(False)),
+    })
     if not whole_rows:
-        return _cut(held.select("id", "text", "spans", "whole"), min_length, False).withColumnRenamed("id", key)
-    out = _cut(held.select(*[f"c{i}" for i in range(len(names))], "text", "spans", "whole"), min_length, True)
+        out = _cut(held, lengths, ["id"], bool(passages))
+        return out.withColumnsRenamed({"id": key, "kept_text": "text"})
+    out = _cut(held, lengths, [f"c{i}" for i in range(len(names))], True)
     return out.select(*[(F.col("kept_text") if c == text else F.col(f"c{i}")).alias(c) for i, c in enumerate(names)])

@@ -25,7 +25,7 @@ def op2_signature_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_previous_factors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return factors.deduplicated(table(spark, sf_dir, "documents"))
+    return factors.deduplicated(table(spark, sf_dir, "documents"), passages=factors.PASSAGE)
 
 
 def op4_hash_tree_shards(spark: SparkSession, sf_dir: str) -> DataFrame:

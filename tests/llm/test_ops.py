@@ -153,16 +153,31 @@ def brute_factors(texts, n, first):
     return out
 
 
-@pytest.mark.parametrize(("first", "hot"), [(False, 40_000), (True, 40_000), (False, 2), (True, 2)])
-def test_factors_against_brute_force(spark, first, hot):
+def passage_texts():
     rng = random.Random(9)
     passage = ["".join(rng.choice("abcé ") for _ in range(n)) for n in (39, 40, 41, 90, 300)]
     texts = ["".join(rng.choice([*passage, "".join(rng.choice("xyz") for _ in range(rng.randrange(30)))]) for _ in range(rng.randrange(6))) for _ in range(60)]
-    texts += ["a" * 200, "ab" * 100, texts[3], texts[3], texts[5], "", "short"]
-    got = factors.deduplicated(frame(spark, texts), min_length=40, keep="first" if first else "none", hot_rows=hot).orderBy("doc_id").collect()
+    return [*texts, "a" * 200, "ab" * 100, texts[3], texts[3], texts[5], "", "short"]
+
+
+@pytest.mark.parametrize(("first", "group_rows"), [(False, 2_000), (True, 2_000), (False, 2), (True, 2), (False, 8), (True, 8)])
+def test_factors_against_brute_force(spark, first, group_rows):
+    texts = passage_texts()
+    got = factors.deduplicated(frame(spark, texts), min_length=40, keep="first" if first else "none", group_rows=group_rows).orderBy("doc_id").collect()
     assert [tuple(r)[1:5] for r in got] == brute_factors(texts, 40, first)
 
 
+@pytest.mark.parametrize("group_rows", [2_000, 3])
+def test_passages_beside_longer_strings(spark, group_rows):
+    """Two lengths from one pass: strings of 70 bytes removed everywhere, passages of 40 bytes but for the first."""
+    texts = passage_texts()
+    got = factors.deduplicated(frame(spark, texts), min_length=70, passages=40, group_rows=group_rows).orderBy("doc_id").collect()
+    assert [tuple(r)[1:5] for r in got] == brute_factors(texts, 70, False)
+    assert [r.passage_bytes for r in got] == [n for _, n, _, _ in brute_factors(texts, 40, True)]
+    alone = factors.deduplicated(frame(spark, texts), min_length=40, keep="first", whole_rows=True).orderBy("doc_id").collect()
+    assert [r.text for r in got] == [r.text for r in alone]
+
+
 def test_repeated_rows_are_one_document(spark):
     """The first of copies keeps its text, however often its row is there; a later copy loses it."""
     rng = random.Random(2)
@@ -172,11 +187,22 @@ def test_repeated_rows_are_one_document(spark):
     assert got == [(1, 0), (1, 0), (2, 600), (3, 450)]
 
 
-def test_longest_previous_factor():
-    for text in (b"abracadabra", b"aaaaaa", b"", b"a", b"mississippi" * 3):
-        got = factors.longest_previous(*factors.suffix_array(text))
-        want = [max([0, *(next((k for k in range(len(text) - i + 1) if i + k == len(text) or text[i + k] != text[j + k]), 0) for j in range(i))]) for i in range(len(text))]
-        assert got.tolist() == want
+def test_longest_factors_of_rows():
+    """The LPF of every suffix that starts at a branching of the contexts, against all pairs of rows."""
+    rng = random.Random(6)
+    agree = lambda a, b: next((i for i, (x, y) in enumerate(zip(a, b, strict=False)) if x != y), min(len(a), len(b)))
+    for size in (2, 3, 9, 40):
+        group = np.repeat([1, 2, 3], size)
+        rows = [tuple("".join(rng.choice("ab") for _ in range(rng.randrange(9))).encode() for _ in range(2)) for _ in group]
+        row, depth, previous, other = factors.longest_factors(group, [a for a, _ in rows], [b for _, b in rows], (9, 9))
+        got = {(r, d): (p, o) for r, d, p, o in zip(row.tolist(), depth.tolist(), previous.tolist(), other.tolist(), strict=True)}
+        want = {}
+        for i, (a, b) in enumerate(rows):
+            others = [(j, agree(a, x), agree(b, y)) for j, (x, y) in enumerate(rows) if j != i and group[j] == group[i]]
+            for d in {n for _, n, _ in others}:
+                fits = [(j, m) for j, n, m in others if n >= d]
+                want[i, d] = (max([-1, *(m for j, m in fits if j < i)]), max(m for _, m in fits))
+        assert got == want
 
 
 def test_sharding_law(spark):
