@@ -1,12 +1,16 @@
 """GIF media columns: texts stored as grey frames, and frames decoded with LZW, palettes, disposal and transparency.
 
 A text's UTF-8 bytes, padded with 255 to a positive multiple of 576, become 8-bit samples of frames
-24 wide. The encoder clears the LZW table before codes would widen, so that packing and unpacking
-nine-bit codes are array operations; the decoder takes any stream, that kind by arrays and every
-other code by code. Decoding draws frames onto a canvas as their palettes, transparent index and
-disposal say, and gives each one its time and a colour histogram.
-
-A null text is empty. Equal texts have equal files. Nothing is shuffled; files live in a column.
+24 wide, compressed by LZW whose table and codes grow until it is full and then cleared. The decoder
+takes any stream. It reads the codes of a table's life at once and forms no table: the entry made
+behind a code is what stands in the output from that code's place on, one byte longer than its text,
+so every code is a copy of earlier output, and copies of copies are followed by doubling. Frames are
+drawn onto a canvas as their palettes, transparent index and disposal say, and each one has its
+time and a colour histogram.
+
+A null text is empty. Equal texts have equal files, repeated rows and null keys included; a long text
+has several frames. An empty table gives an empty result, and extra columns are ignored, whatever
+their names. Nothing is shuffled; files live in a column.
 """
 
 from __future__ import annotations
@@ -27,8 +31,7 @@ UNIT, WIDTH = 576, 24
 FRAME_ROWS = 1536
 DELAY_CS = 10
 CLEAR, END = 256, 257
-#: Literals after which the encoder clears the table: one more would widen the codes to ten bits.
-RUN = 254
+TABLE = 4096
 BINS = 8
 GREYS = np.repeat(np.arange(256, dtype=np.uint8), 3).tobytes()
 
@@ -37,83 +40,98 @@ def padded(raw: bytes) -> bytes:
     return raw + b"\xff" * ((-len(raw)) % UNIT if raw else UNIT)
 
 
-def lzw_literals(samples: np.ndarray) -> bytes:
-    """An LZW stream of nine-bit codes: a clear, RUN literals, and so on, then the end."""
-    n = len(samples)
-    groups = -(-n // RUN)
-    codes = np.full((groups, RUN + 1), CLEAR, np.uint16)
-    body = np.zeros(groups * RUN, np.uint16)
-    body[:n] = samples
-    codes[:, 1:] = body.reshape(groups, RUN)
-    total = n + groups
-    flat = np.zeros(-(-(total + 1) // 8) * 8, np.uint64)
-    flat[:total] = codes.ravel()[:total]
-    flat[total] = END
-    eight = flat.reshape(-1, 8)
-    low = eight[:, 0].copy()
-    for i in range(1, 8):
-        low |= eight[:, i] << np.uint64(9 * i)
-    out = np.empty((len(eight), 9), np.uint8)
-    out[:, :8] = low.astype("<u8").view(np.uint8).reshape(-1, 8)
-    out[:, 8] = (eight[:, 7] >> np.uint64(1)).astype(np.uint8)
-    return out.tobytes()[: -(-(total + 1) * 9 // 8)]
+def widths_of(n: int, min_size: int) -> np.ndarray:
+    """Bits of the first n codes behind a clear: the table has an entry more with each code but the first."""
+    entries = np.minimum((1 << min_size) + 1 + np.maximum(np.arange(n), 1), TABLE)
+    return np.clip(np.frexp(entries.astype(np.float64))[1], min_size + 1, 12)
+
+
+def lzw_encode(samples: bytes) -> bytes:
+    """An LZW stream of 8-bit samples."""
+    table: dict[int, int] = {}
+    codes, known, free, word = [CLEAR], table.get, END + 1, -1
+    for b in samples:
+        if word < 0:
+            word = b
+            continue
+        pair = word << 8 | b
+        longer = known(pair)
+        if longer is not None:
+            word = longer
+            continue
+        codes.append(word)
+        if free < TABLE:
+            table[pair] = free
+            free += 1
+        else:
+            codes.append(CLEAR)
+            table.clear()
+            free = END + 1
+        word = b
+    if word >= 0:
+        codes.append(word)
+    codes.append(END)
+    flat = np.array(codes, np.uint16)
+    since = np.flatnonzero(flat == CLEAR)
+    lives = np.diff(np.append(since, len(flat)))
+    # A clear has the width that its place in the table's last life asks for; the first one has the least.
+    width = np.concatenate([[9], *(widths_of(n, 8) for n in lives)])[: len(flat)]
+    bits = (flat[:, None] >> np.arange(12, dtype=np.uint16)) & 1
+    return np.packbits(bits[np.arange(12) < width[:, None]].astype(bool), bitorder="little").tobytes()
 
 
 def lzw_decode(data: bytes, min_size: int, expected: int) -> np.ndarray:
-    """The indices of an LZW stream."""
-    if min_size == 8:
-        found = _literal_run(data)
-        if found is not None and len(found) >= expected:
-            return found[:expected]
-    clear, end = 1 << min_size, (1 << min_size) + 1
-    base = [bytes([i]) for i in range(clear)] + [b"", b""]
-    table, width, last, out, size = list(base), min_size + 1, b"", [], 0
-    at, held, bits = 0, 0, 0
+    """The indices of an LZW stream, as many as are expected or as it has."""
+    clear = 1 << min_size
+    raw = np.frombuffer(data + b"\0\0\0\0", np.uint8).astype(np.uint32)
+    total, at, out, size, life = 8 * len(data), 0, [], 0, widths_of(TABLE, min_size)
     while size < expected:
-        while bits < width:
-            if at >= len(data):
-                raise ValueError("the code stream ends early")
-            held |= data[at] << bits
-            at, bits = at + 1, bits + 8
-        code, held, bits = held & ((1 << width) - 1), held >> width, bits - width
-        if code == clear:
-            table, width, last = list(base), min_size + 1, b""
-            continue
-        if code == end:
+        width = life  # codes of one life of the table, up to its clear; beyond a full table they stay at twelve bits
+        while True:
+            place = at + np.cumsum(width) - width
+            fits = int(np.searchsorted(place + width, total, side="right"))
+            byte, shift = place[:fits] >> 3, (place[:fits] & 7).astype(np.uint32)
+            codes = ((raw[byte] | raw[byte + 1] << np.uint32(8) | raw[byte + 2] << np.uint32(16)) >> shift & ((1 << width[:fits]) - 1).astype(np.uint32)).astype(np.int64)
+            marks = np.flatnonzero((codes == clear) | (codes == clear + 1))
+            if len(marks) or fits < len(width):
+                break
+            width = np.concatenate([width, np.full(len(width), 12, width.dtype)])
+        if not len(marks):
+            raise ValueError("the code stream ends early")
+        stop = int(marks[0])
+        if stop:
+            part = _copied(codes[:stop], clear)
+            out.append(part)
+            size += len(part)
+        if codes[stop] == clear + 1:
             break
-        if code < len(table):
-            text = table[code]
-        elif code == len(table) and last:
-            text = last + last[:1]
-        else:
-            raise ValueError("a code before its entry")
-        if last and len(table) < 4096:
-            table.append(last + text[:1])
-            if len(table) == 1 << width and width < 12:
-                width += 1
-        out.append(text)
-        size += len(text)
-        last = text
-    return np.frombuffer(b"".join(out), np.uint8)[:expected]
-
-
-def _literal_run(data: bytes) -> np.ndarray | None:
-    """The samples of a stream in which no code widens and none is a table entry; None for other streams."""
-    raw = np.frombuffer(data + b"\0" * (-len(data) % 9), np.uint8).reshape(-1, 9)
-    low = np.ascontiguousarray(raw[:, :8]).view("<u8").ravel()
-    codes = np.empty((len(raw), 8), np.uint16)
-    for i in range(7):
-        codes[:, i] = (low >> np.uint64(9 * i)).astype(np.uint16) & 511
-    codes[:, 7] = (low >> np.uint64(63)).astype(np.uint16) | raw[:, 8].astype(np.uint16) << 1
-    codes = codes.ravel()
-    ends = np.flatnonzero(codes == END)
-    if not len(ends):
-        return None
-    codes = codes[: ends[0]]
-    clears = np.flatnonzero(codes == CLEAR)
-    if not len(clears) or clears[0] or np.diff(np.concatenate([clears, [len(codes)]])).max() > RUN + 1 or codes.max() > CLEAR:
-        return None
-    return codes[codes < CLEAR].astype(np.uint8)
+        at = int(place[stop] + width[stop])
+    return np.concatenate(out)[:expected] if out else np.empty(0, np.uint8)
+
+
+def _copied(codes: np.ndarray, clear: int) -> np.ndarray:
+    """The output of the codes between two clears."""
+    n = len(codes)
+    entry = codes - clear - 2  # the code that this one's table entry was made behind
+    literal = entry < 0
+    if (entry >= np.minimum(np.arange(n), TABLE - clear - 2)).any():
+        raise ValueError("a code before its entry")
+    # A text is one longer than that of the code its entry was made behind: lengths are depths, found by doubling.
+    length, above = np.ones(n, np.int64), np.where(literal, -1, entry)
+    while (live := np.flatnonzero(above >= 0)).size:
+        length[live] += length[above[live]]
+        above[live] = above[above[live]]
+    start = np.cumsum(length) - length
+    total = int(length.sum())
+    source = np.arange(total) + np.repeat(np.where(literal, 0, start[np.maximum(entry, 0)] - start), length)
+    while True:
+        further = source[source]
+        if (further == source).all():
+            break
+        source = further
+    value = np.zeros(total, np.uint8)
+    value[start[literal]] = codes[literal]
+    return value[source]
 
 
 def sub_blocks(data: bytes) -> bytes:
@@ -126,13 +144,12 @@ def sub_blocks(data: bytes) -> bytes:
 
 def encode(payload: bytes, width: int = WIDTH, frame_rows: int = FRAME_ROWS, delay_cs: int = DELAY_CS) -> bytes:
     """A GIF89a file whose frames, one after another, hold the payload as samples."""
-    samples = np.frombuffer(payload, np.uint8)
-    rows = len(samples) // width
+    rows = len(payload) // width
     out = [b"GIF89a", struct.pack("<HHBBB", width, min(rows, frame_rows), 0xF7, 0, 0), GREYS]
     for top in range(0, rows, frame_rows):
         height = min(frame_rows, rows - top)
         out += [b"\x21\xf9\x04", struct.pack("<BHBB", 1 << 2, delay_cs, 0, 0), b"\x2c", struct.pack("<HHHHBB", 0, 0, width, height, 0, 8)]
-        out.append(sub_blocks(lzw_literals(samples[top * width : (top + height) * width])))
+        out.append(sub_blocks(lzw_encode(payload[top * width : (top + height) * width])))
     return b"".join([*out, b"\x3b"])
 
 
@@ -227,10 +244,10 @@ def stored(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
 
 
 def features(media: DataFrame, key: str = "doc_id") -> DataFrame:
-    """What is read back from the files: payload and media digests, and a feature of the rendered frames: how many, the end of the last in ms, and the sums of their histograms."""
+    """What is read back from the files: payload and media digests; of the rendered frames how many, their delays in ms and the sums of their colour histograms, and a feature of these."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = [key, "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"]
+        names = [key, "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "frames", "delays_ms", "red", "green", "blue"]
         for batch in batches:
             out: list[list] = [[] for _ in names[2:]]
             for x in batch.column(2):
@@ -239,13 +256,14 @@ def features(media: DataFrame, key: str = "doc_id") -> DataFrame:
                 payload = b"".join(f.indices.tobytes() for f in frames)
                 levels = np.sum([histogram(f.canvas) for f in frames], axis=0)
                 feature = f"{len(frames)}:{frames[-1].start_ms + frames[-1].delay_ms}:" + ",".join(map(str, levels.tolist()))
-                values = (len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-32:]), len(file), hashlib.sha256(file).hexdigest(), feature)
+                colours = (levels[k * BINS : (k + 1) * BINS].tolist() for k in range(3))
+                values = (len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-32:]), len(file), hashlib.sha256(file).hexdigest(), feature, len(frames), [f.delay_ms for f in frames], *colours)
                 for column, v in zip(out, values, strict=True):
                     column.append(v)
-            kinds = (pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string())
+            kinds = (pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int32(), *[pa.list_(pa.int64())] * 4)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *(pa.array(c, t) for c, t in zip(out, kinds, strict=True))], names=names)
 
-    return media.mapInArrow(run, f"{key} bigint, n_bytes bigint, payload_bytes bigint, payload_sha256 string, tail_crc32 bigint, media_bytes bigint, media_sha256 string, feature string")
+    return media.mapInArrow(run, f"{key} bigint, n_bytes bigint, payload_bytes bigint, payload_sha256 string, tail_crc32 bigint, media_bytes bigint, media_sha256 string, feature string, frames int, delays_ms array<bigint>, red array<bigint>, green array<bigint>, blue array<bigint>")
 
 
 def frames_of(media: DataFrame, key: str = "doc_id") -> DataFrame:

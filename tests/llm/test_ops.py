@@ -369,6 +369,15 @@ def test_gif_lzw():
     rng = np.random.default_rng(2)
     for data, size in ((b"abab" * 900, 8), (rng.integers(0, 4, 3000, np.uint8).tobytes(), 2), (rng.integers(0, 256, 9000, np.uint8).tobytes(), 8), (b"\x01" * 5000, 2)):
         assert gif.lzw_decode(lzw(data, size), size, len(data)).tobytes() == data
+    for bad in (b"\x00", gif.lzw_encode(b"abc" * 400)[:-4]):
+        with pytest.raises(ValueError, match="ends early|before its entry"):
+            gif.lzw_decode(bad, 8, 1200)
+    text = b"the same words and the same words again, " * 900
+    assert gif.lzw_encode(text) == lzw(text, 8)  # its table fills more than once below
+    noise = rng.integers(0, 256, 30_000, np.uint8).tobytes()
+    for data in (b"", b"x", noise, text + noise + text):
+        assert gif.lzw_decode(gif.lzw_encode(data), 8, len(data)).tobytes() == data
+    assert len(gif.lzw_encode(text)) < len(text) / 5
     for n in (576, 254 * 24, 36_864 + 576):
         payload = rng.integers(0, 256, n, np.uint8).tobytes()
         _, _, frames = gif.decode(gif.encode(payload))
@@ -408,6 +417,24 @@ def test_gif_features_are_those_of_rendered_frames(spark):
     assert sum(map(int, got[1].split(":")[2].split(","))) == 2 * 36_864 * 3
 
 
+def test_gif_columns_against_plain_ones(spark):
+    texts = ["abc", "", None, "é" * 400, "x" * 36_864 + "é" * 2000, "abc"]
+    rows = gif.features(gif.stored(frame(spark, texts))).orderBy("doc_id").collect()
+    files = {r.doc_id: bytes(r.media) for r in gif.stored(frame(spark, texts)).collect()}
+    for r, t in zip(rows, texts, strict=True):
+        raw = (t or "").encode()
+        payload = raw + b"\xff" * (-len(raw) % 576 if raw else 576)
+        file = files[r.doc_id]
+        assert (r.n_bytes, r.payload_bytes, r.payload_sha256, r.tail_crc32) == (len(raw), len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-32:]))
+        assert (r.media_bytes, r.media_sha256, r.frames, r.delays_ms) == (len(file), hashlib.sha256(file).hexdigest(), -(-len(payload) // 36_864), [100] * r.frames)
+        canvas, want = bytearray(payload[:36_864]), Counter()
+        for f in range(r.frames):
+            part = payload[f * 36_864 : (f + 1) * 36_864]
+            canvas[: len(part)] = part
+            want += Counter(b >> 5 for b in canvas)
+        assert r.red == r.green == r.blue == [want[i] for i in range(8)]
+
+
 def test_warc(spark):
     big, small = "p" * 1500 + "é", "s" * 20
     html = [big, small, big, small, None, "", "q" * 1000, big]
