@@ -32,6 +32,10 @@ FRAME_ROWS = 1536
 DELAY_CS = 10
 CLEAR, END = 256, 257
 TABLE = 4096
+#: Samples after which the encoder clears its table: with one entry a sample it would be full.
+LIFE = TABLE - END - 1
+#: Cells of the tables that stand side by side, two bytes each.
+MOST_CELLS = 1 << 26
 BINS = 8
 GREYS = np.repeat(np.arange(256, dtype=np.uint8), 3).tobytes()
 
@@ -40,51 +44,88 @@ def padded(raw: bytes) -> bytes:
     return raw + b"\xff" * ((-len(raw)) % UNIT if raw else UNIT)
 
 
+_CELLS = np.zeros(0, np.int16)
+_BITS = np.arange(12, dtype=np.uint16)
+
+
 def widths_of(n: int, min_size: int) -> np.ndarray:
     """Bits of the first n codes behind a clear: the table has an entry more with each code but the first."""
     entries = np.minimum((1 << min_size) + 1 + np.maximum(np.arange(n), 1), TABLE)
     return np.clip(np.frexp(entries.astype(np.float64))[1], min_size + 1, 12)
 
 
-def lzw_encode(samples: bytes) -> bytes:
-    """An LZW stream of 8-bit samples."""
-    table: dict[int, int] = {}
-    codes, known, free, word = [CLEAR], table.get, END + 1, -1
-    for b in samples:
-        if word < 0:
-            word = b
-            continue
-        pair = word << 8 | b
-        longer = known(pair)
-        if longer is not None:
-            word = longer
-            continue
-        codes.append(word)
-        if free < TABLE:
-            table[pair] = free
-            free += 1
-        else:
-            codes.append(CLEAR)
-            table.clear()
-            free = END + 1
-        word = b
-    if word >= 0:
-        codes.append(word)
-    codes.append(END)
-    flat = np.array(codes, np.uint16)
-    since = np.flatnonzero(flat == CLEAR)
-    lives = np.diff(np.append(since, len(flat)))
-    # A clear has the width that its place in the table's last life asks for; the first one has the least.
-    width = np.concatenate([[9], *(widths_of(n, 8) for n in lives)])[: len(flat)]
-    bits = (flat[:, None] >> np.arange(12, dtype=np.uint16)) & 1
-    return np.packbits(bits[np.arange(12) < width[:, None]].astype(bool), bitorder="little").tobytes()
+_WIDTHS = widths_of(TABLE, 8)
+
+
+def lzw_codes(parts: list[np.ndarray]) -> list[np.ndarray]:
+    """The codes of each part, of LIFE samples at most, from an empty table. Parts go side by side, a sample of each at a time.
+    A part's table has a row for every code and a cell for every byte that occurs in it."""
+    global _CELLS
+    out: list[np.ndarray] = [np.empty(0, np.uint16)] * len(parts)
+    seen = [np.bincount(p, minlength=256) > 0 for p in parts]
+    symbols = max((int(x.sum()) for x in seen), default=1)
+    beside = max(1, MOST_CELLS // (TABLE * symbols))
+    order = sorted((i for i in range(len(parts)) if len(parts[i])), key=lambda i: -len(parts[i]))
+    need = min(beside, len(order)) * TABLE * symbols
+    if len(_CELLS) < need:
+        _CELLS = np.zeros(need, np.int16)
+    for at in range(0, len(order), beside):
+        chosen = order[at : at + beside]
+        n, size = len(chosen), len(parts[chosen[0]])
+        raw, dense = np.zeros((size, n), np.int32), np.zeros((size, n), np.int32)
+        for j, i in enumerate(chosen):
+            raw[: len(parts[i]), j] = parts[i]
+            dense[: len(parts[i]), j] = (np.cumsum(seen[i]) - 1)[parts[i]]
+        dense += np.arange(n, dtype=np.int32) * (TABLE * symbols)
+        lengths = np.array([len(parts[i]) for i in chosen])
+        going = n - np.searchsorted(lengths[::-1], np.arange(size), side="right")  # parts with a sample there
+        words, ends = np.zeros((size, n), np.uint16), np.zeros((size, n), bool)
+        word, free, touched = raw[0].copy(), np.full(n, END + 1, np.int16), []
+        for t in range(1, size):
+            g = going[t]
+            cell = word[:g] * symbols
+            cell += dense[t, :g]
+            longer = _CELLS[cell].astype(np.int32)
+            new = np.flatnonzero(longer == 0)
+            words[t - 1, :g] = word[:g]
+            if len(new):
+                ends[t - 1, new] = True
+                made = cell[new]
+                _CELLS[made] = free[new]
+                free[new] += 1
+                touched.append(made)
+                longer[new] = raw[t, new]
+            word[:g] = longer
+        for cells in touched:
+            _CELLS[cells] = 0
+        words[lengths - 1, np.arange(n)] = word
+        ends[lengths - 1, np.arange(n)] = True
+        for j, i in enumerate(chosen):
+            out[i] = words[: lengths[j], j][ends[: lengths[j], j]]
+    return out
+
+
+def lzw_encode(samples: list[bytes]) -> list[bytes]:
+    """An LZW stream of 8-bit samples each. The table grows and is cleared where it could be full."""
+    lives = [[np.frombuffer(s, np.uint8)[i : i + LIFE] for i in range(0, len(s), LIFE)] for s in samples]
+    codes = iter(lzw_codes([p for x in lives for p in x]))
+    out = []
+    for x in lives:
+        found = [next(codes) for _ in x] or [np.empty(0, np.uint16)]
+        flat = np.concatenate([*(np.concatenate([[CLEAR], c]) for c in found), [END]]).astype(np.uint16)
+        # A clear or an end has the width that its place in the table's life asks for; the first clear has the least.
+        width = np.concatenate([[9], *(_WIDTHS[: len(c) + 1] for c in found)])
+        bits = (flat[:, None] >> _BITS) & 1
+        out.append(np.packbits(bits[_BITS < width[:, None]].astype(bool), bitorder="little").tobytes())
+    return out
 
 
 def lzw_decode(data: bytes, min_size: int, expected: int) -> np.ndarray:
     """The indices of an LZW stream, as many as are expected or as it has."""
     clear = 1 << min_size
     raw = np.frombuffer(data + b"\0\0\0\0", np.uint8).astype(np.uint32)
-    total, at, out, size, life = 8 * len(data), 0, [], 0, widths_of(TABLE, min_size)
+    total, at, out, size = 8 * len(data), 0, [], 0
+    life = widths_of(min(TABLE, total // (min_size + 1) + 1), min_size)
     while size < expected:
         width = life  # codes of one life of the table, up to its clear; beyond a full table they stay at twelve bits
         while True:
@@ -142,15 +183,19 @@ def sub_blocks(data: bytes) -> bytes:
     return blocks.tobytes() + (bytes([len(rest)]) + rest if rest else b"") + b"\0"
 
 
-def encode(payload: bytes, width: int = WIDTH, frame_rows: int = FRAME_ROWS, delay_cs: int = DELAY_CS) -> bytes:
-    """A GIF89a file whose frames, one after another, hold the payload as samples."""
-    rows = len(payload) // width
-    out = [b"GIF89a", struct.pack("<HHBBB", width, min(rows, frame_rows), 0xF7, 0, 0), GREYS]
-    for top in range(0, rows, frame_rows):
-        height = min(frame_rows, rows - top)
-        out += [b"\x21\xf9\x04", struct.pack("<BHBB", 1 << 2, delay_cs, 0, 0), b"\x2c", struct.pack("<HHHHBB", 0, 0, width, height, 0, 8)]
-        out.append(sub_blocks(lzw_encode(payload[top * width : (top + height) * width])))
-    return b"".join([*out, b"\x3b"])
+def encode(payloads: list[bytes], width: int = WIDTH, frame_rows: int = FRAME_ROWS, delay_cs: int = DELAY_CS) -> list[bytes]:
+    """GIF89a files whose frames, one after another, hold a payload each as samples."""
+    frame = frame_rows * width
+    streams = iter(lzw_encode([p[i : i + frame] for p in payloads for i in range(0, len(p), frame)]))
+    out = []
+    for payload in payloads:
+        rows = len(payload) // width
+        file = [b"GIF89a", struct.pack("<HHBBB", width, min(rows, frame_rows), 0xF7, 0, 0), GREYS]
+        for top in range(0, rows, frame_rows):
+            file += [b"\x21\xf9\x04", struct.pack("<BHBB", 1 << 2, delay_cs, 0, 0), b"\x2c", struct.pack("<HHHHBB", 0, 0, width, min(frame_rows, rows - top), 0, 8)]
+            file.append(sub_blocks(next(streams)))
+        out.append(b"".join([*file, b"\x3b"]))
+    return out
 
 
 @dataclass
@@ -211,9 +256,9 @@ def decode(file: bytes) -> tuple[int, int, list[Frame]]:
         colours = own if own is not None else shared
         h2, w2 = max(0, min(h, height - y)), max(0, min(w, width - x))
         part = grid[:h2, :w2]
-        seen = np.ones(part.shape, bool) if transparent is None else part != transparent
         area = picture[y : y + h2, x : x + w2]
-        area[seen] = np.concatenate([colours[np.minimum(part[seen], len(colours) - 1)], np.full((int(seen.sum()), 1), 255, np.uint8)], axis=1)
+        drawn = np.concatenate([colours, np.full((len(colours), 1), 255, np.uint8)], axis=1)[np.minimum(part, len(colours) - 1)]
+        area[:] = drawn if transparent is None else np.where((part != transparent)[..., None], drawn, area)
         shown = picture.copy()
         if disposal == 2:
             area[:] = 0
@@ -226,7 +271,8 @@ def decode(file: bytes) -> tuple[int, int, list[Frame]]:
 
 def histogram(canvas: np.ndarray) -> list[int]:
     """Counts of BINS levels for each of red, green and blue, of what is not transparent."""
-    seen = canvas[..., :3][canvas[..., 3] > 0]
+    seen = canvas.reshape(-1, 4)
+    seen = seen if seen[:, 3].all() else seen[seen[:, 3] > 0]
     return [int(c) for k in range(3) for c in np.bincount(seen[:, k] >> 5, minlength=BINS)]
 
 
@@ -238,7 +284,7 @@ def stored(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
             for start in range(0, whole.num_rows, 512):
                 batch = whole.slice(start, 512)
                 raws = [x.as_py() or b"" for x in batch.column(1).cast(pa.binary())]
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(r) for r in raws], pa.int64()), pa.array([encode(padded(r)) for r in raws], pa.binary())], names=[key, "n_bytes", "media"])
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(r) for r in raws], pa.int64()), pa.array(encode([padded(r) for r in raws]), pa.binary())], names=[key, "n_bytes", "media"])
 
     return docs.select(F.col(key).cast("long").alias(key), F.col(text).cast("string").alias(text)).mapInArrow(run, f"{key} bigint, n_bytes bigint, media binary")
 

@@ -369,18 +369,18 @@ def test_gif_lzw():
     rng = np.random.default_rng(2)
     for data, size in ((b"abab" * 900, 8), (rng.integers(0, 4, 3000, np.uint8).tobytes(), 2), (rng.integers(0, 256, 9000, np.uint8).tobytes(), 8), (b"\x01" * 5000, 2)):
         assert gif.lzw_decode(lzw(data, size), size, len(data)).tobytes() == data
-    for bad in (b"\x00", gif.lzw_encode(b"abc" * 400)[:-4]):
+    for bad in (b"\x00", gif.lzw_encode([b"abc" * 400])[0][:-4]):
         with pytest.raises(ValueError, match="ends early|before its entry"):
             gif.lzw_decode(bad, 8, 1200)
-    text = b"the same words and the same words again, " * 900
-    assert gif.lzw_encode(text) == lzw(text, 8)  # its table fills more than once below
-    noise = rng.integers(0, 256, 30_000, np.uint8).tobytes()
-    for data in (b"", b"x", noise, text + noise + text):
-        assert gif.lzw_decode(gif.lzw_encode(data), 8, len(data)).tobytes() == data
-    assert len(gif.lzw_encode(text)) < len(text) / 5
+    text, noise = b"the same words and the same words again, " * 90, rng.integers(0, 256, 30_000, np.uint8).tobytes()
+    data = [text[: gif.LIFE], b"", b"x", b"a" * gif.LIFE, noise[: gif.LIFE], noise, text + noise + text, text * 9]
+    streams = gif.lzw_encode(data)
+    assert streams[:5] == [lzw(x, 8) for x in data[:5]] == gif.lzw_encode(data[:5]) == [gif.lzw_encode([x])[0] for x in data[:5]]
+    assert [gif.lzw_decode(x, 8, len(d)).tobytes() for x, d in zip(streams, data, strict=True)] == data
+    assert len(streams[0]) < gif.LIFE / 4
     for n in (576, 254 * 24, 36_864 + 576):
         payload = rng.integers(0, 256, n, np.uint8).tobytes()
-        _, _, frames = gif.decode(gif.encode(payload))
+        _, _, frames = gif.decode(gif.encode([payload])[0])
         assert b"".join(f.indices.tobytes() for f in frames) == payload and (frames[0].canvas[..., 0].ravel()[: len(frames[0].indices)] == frames[0].indices).all()
 
 
