@@ -21,10 +21,24 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of linked documents the least doc_id stays; a row without doc_id can't be named as a copy, and stays."""
-    membership, _ = jaccard.similar(docs)
-    gone = membership.where("component_id <> doc_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    """Of each group of linked texts one row stays, that of the least doc_id (null comes last); texts without words link with nothing and stay.
+
+    Texts are compared, not doc_ids: of a doc_id on two texts each one stays or goes by itself, and of a row that is there twice one stays."""
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    name = F.xxhash64(text)  # a text's own name; texts under one doc_id are told apart by it
+    membership, _ = jaccard.similar(docs.select(name.alias("name"), text.alias("text")), key="name")
+    groups = membership.where("n_shingles > 0").select("name", "component_id").distinct()
+    rows = docs.select(F.col("doc_id").alias("id"), name.alias("name")).join(groups, "name")
+    order = F.struct(F.col("id").isNull().alias("none"), "id", "name")
+    first = rows.groupBy("component_id").agg(F.min(order).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    counts = rows.groupBy("id", "name", "component_id").agg(F.count(F.lit(1)).alias("times")).join(first, "component_id")
+    stays = (F.col("id").eqNullSafe(F.col("first.id"))) & (F.col("name") == F.col("first.name"))
+    told = written(counts.select("id", "name", stays.alias("stays"), "times").where("not stays or times > 1"), "copies")
+    own = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("id"), name.alias("name"))
+    there = lambda t: own["id"].eqNullSafe(t["id"]) & (own["name"] == t["name"])
+    twice = told.where("stays and times > 1")
+    once = own.join(twice, there(twice), "left_semi").dropDuplicates(["id", "name"])
+    return own.join(told, there(told), "left_anti").unionAll(once).select("row.*")
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
