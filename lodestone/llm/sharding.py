@@ -7,8 +7,9 @@ moves between siblings whose weights stay. A shard that is added later opens a r
 (`grown`): as no other subtree changes weight, it takes rows only into itself.
 
 Everything is DataFrame expressions. Slots number each shard's rows from 0 without a window over
-a whole shard: key ranges are numbered apart and shifted by the counts of those before.
-A null key is a key like any other and takes the first slots; a null text has no bytes (size 1,
+a whole shard: key ranges, bounded by quantiles so that outliers don't widen them, are numbered
+apart and shifted by the counts of those before. Rows of one key stay in one range.
+An empty table gives an empty result; extra columns are ignored, whatever their names. A null key is a key like any other and takes the first slots; a null text has no bytes (size 1,
 checksum 0); rows with equal keys go to one shard and get slots by checksum and size.
 """
 
@@ -19,8 +20,10 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Rows that a key range of a shard should hold, and ranges at most.
-RANGE_ROWS, MOST_RANGES = 50_000, 100_000
+#: Rows of a key range, over all shards, and ranges at most: beyond that, ranges grow, a shard's share of one staying n / 65,536 rows for 16 shards.
+RANGE_ROWS, MOST_RANGES = 50_000, 4_096
+#: Of the quantiles that bound the ranges; a quantile may be off by n / ACCURACY rows.
+ACCURACY = 40_000
 DRAW_BITS = 48
 
 
@@ -78,12 +81,22 @@ def placed(rows: DataFrame, tree: list[Shard], key: str, into: str, seed: str =
     return rows.withColumn(into, F.substring_index(into, "/", -1).cast("int"))
 
 
+def below(value: Column, bounds: list[int]) -> Column:
+    """How many of the sorted bounds are below a value, by binary search."""
+    if not bounds:
+        return F.lit(0)
+    steps = [1 << i for i in reversed(range(len(bounds).bit_length()))]
+    # Places behind the last bound give null, which is not below anything.
+    held, at = F.array(*map(F.lit, bounds)), lambda i: F.get(held, i)
+    return F.aggregate(F.array(*map(F.lit, steps)), F.lit(0), lambda found, step: F.when(at(found + step - 1) < value, found + step).otherwise(found))
+
+
 def with_slots(rows: DataFrame, key: str, shard: str, ties: list[str]) -> DataFrame:
     """Adds slot: the row's number within its shard in key order, gapless from 0. Two aggregates and one window over key ranges."""
-    low, high, n = rows.agg(F.min(key), F.max(key), F.count(F.lit(1))).first()
-    ranges = max(1, min(MOST_RANGES, n // RANGE_ROWS))
-    width = max(1, -(-(int(high or 0) - int(low or 0) + 1) // ranges))
-    rows = rows.withColumn("_range", F.coalesce(F.floor((F.col(key) - F.lit(int(low or 0))) / F.lit(width)), F.lit(-1)).cast("long"))
+    fractions = [i / MOST_RANGES for i in range(1, MOST_RANGES)]
+    n, quantiles = rows.agg(F.count(F.lit(1)), F.percentile_approx(key, fractions, ACCURACY)).first()
+    bounds = sorted(set((quantiles or [])[:: max(1, MOST_RANGES * RANGE_ROWS // max(n, 1))] if n > RANGE_ROWS else []))
+    rows = rows.withColumn("_range", F.when(F.col(key).isNull(), -1).otherwise(below(F.col(key), bounds)))
     counts = rows.groupBy(shard, "_range").agg(F.count(F.lit(1)).alias("_n"))
     before = F.sum("_n").over(Window.partitionBy(shard).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1))
     starts = counts.select(shard, "_range", F.coalesce(before, F.lit(0)).alias("_start"))
