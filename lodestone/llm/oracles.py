@@ -63,10 +63,10 @@ OP5 = f"""
 WITH n AS (SELECT source, count(*) AS n FROM documents GROUP BY source),
 r AS (SELECT source, sum(n) OVER () * sqrt(n) / sum(sqrt(n)) OVER () / n AS rate FROM n),
 law AS (SELECT source, k, sum(exp(-rate + CASE WHEN k = 0 THEN 0 ELSE k * ln(rate) - lgamma(k + 1) END)) OVER (PARTITION BY source ORDER BY k) AS c FROM r, range(64) g(k)),
-u AS (SELECT doc_id, source, ({_hashed('mix', 'doc_id', '1')} + 0.5) / {float(1 << mixing.DRAW_BITS)!r} AS u FROM documents),
-counted AS (SELECT doc_id, u.source, (SELECT count(*) FROM law WHERE law.source IS NOT DISTINCT FROM u.source AND c <= u) AS n_copies FROM u),
-copies AS (SELECT doc_id, source, n_copies, unnest(range(n_copies)) AS copy FROM counted)
-SELECT doc_id, source, n_copies, copy, {_hashed('mix/order', 'doc_id', 'copy')} AS shuffle_key FROM copies
+u AS (SELECT *, ({_hashed('mix', 'doc_id', '1')} + 0.5) / {float(1 << mixing.DRAW_BITS)!r} AS u FROM documents),
+counted AS (SELECT u.* EXCLUDE (u), (SELECT count(*) FROM law WHERE law.source IS NOT DISTINCT FROM u.source AND c <= u) AS n_copies FROM u),
+copies AS (SELECT *, unnest(range(n_copies)) AS copy FROM counted)
+SELECT *, {_hashed('mix/order', 'doc_id', 'copy')} AS shuffle_key FROM copies
 """
 
 OP9 = """

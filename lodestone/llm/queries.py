@@ -33,8 +33,9 @@ def op4_hash_tree_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_poisson_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "source")
-    return mixing.replicate(docs, weight=F.sqrt).select("doc_id", "source", F.col("n_copies").cast("long").alias("n_copies"), F.col("copy").cast("long").alias("copy"), "shuffle_key")
+    docs = table(spark, sf_dir, "documents")
+    numbers = [F.col(c).cast("long").alias(c) for c in ("n_copies", "copy")]
+    return mixing.replicate(docs, weight=F.sqrt).select(*docs.columns, *numbers, "shuffle_key")
 
 
 def op6_ratio_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
