@@ -223,6 +223,22 @@ def test_sharding_law(spark):
     assert all(r.a == r.b or region[r.b] == region[5] for r in rows)  # movement only into the subtree that grew
 
 
+def test_slots_of_extreme_and_outlying_keys(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "RANGE_ROWS", 50)
+    far = [-(1 << 63), -(1 << 62) - 5, (1 << 62) + 5, (1 << 63) - 1, None, None, 7, 7]
+    docs = spark.createDataFrame([(k, f"t{i}") for i, k in enumerate([*range(3000), *far])], "doc_id bigint, text string")
+    rows = sharding.shard_documents(docs, sharding.tree_of(16)).collect()
+    assert len(rows) == 3008
+    by = defaultdict(list)
+    for r in rows:
+        by[r.shard].append((r.doc_id is not None, r.doc_id or 0, r.text_crc32, r.size, r.slot))
+    for v in by.values():
+        assert [x[-1] for x in sorted(v)] == list(range(len(v)))
+    bounds = [3, 9, 9, 40]
+    got = spark.range(50).select("id", sharding.below(F.col("id"), bounds).alias("n")).collect()
+    assert all(r.n == sum(b < r.id for b in bounds) for r in got)
+
+
 def test_poisson(spark):
     docs = spark.range(6000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 3 == 0, "a").when(F.col("id") % 100 == 1, "c").otherwise("b").alias("source"))
     rows = mixing.replicate(docs, {"a": 1.0, "b": 1.0, "c": 98.0}).collect()
