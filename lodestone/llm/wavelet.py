@@ -8,7 +8,9 @@ the zeros of the plane above to the front, so an id is read by following its pos
 
 Files are rows of a table in the shared folder (part, seq, n_tokens, file), as executors share
 no local disk; `export` puts them into a plain folder. A null text is an empty one and keeps its
-end id; a null doc_id sorts first; rows with equal doc_id stay beside each other, by text.
+end id; a null doc_id sorts first; rows with equal doc_id stay beside each other, by text. An empty
+table gives no files and an empty result; long texts are never cut; extra columns are ignored,
+whatever their names.
 """
 
 from __future__ import annotations
@@ -23,7 +25,6 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
@@ -38,23 +39,6 @@ BLOCK = 512
 FILE_TOKENS = 1 << 19
 #: A single document larger than this still gets a file of its own: texts are never cut.
 NO_ID = -(1 << 63)
-#: Marks that, alone behind letters, are looked up apart.
-STOPS = (".", ",", "!", "?", ";", ":", "!!", "...")
-#: Words that are handed to the library in one call.
-TOGETHER = 1_000
-#: Texts that are encoded together; a larger one goes by itself.
-BATCH_BYTES = 8 << 20
-
-
-def pieces(batch: pa.RecordBatch, column: int, most: int) -> Iterator[pa.RecordBatch]:
-    """A batch cut where the texts of a column would pass so many bytes together."""
-    ends = np.cumsum(pc.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64))
-    start = 0
-    while start < batch.num_rows:
-        before = int(ends[start - 1]) if start else 0
-        stop = max(start + 1, int(np.searchsorted(ends, before + most, side="right")))
-        yield batch.slice(start, stop - start)
-        start = stop
 
 
 class WaveletMatrix:
@@ -68,7 +52,7 @@ class WaveletMatrix:
         n, planes = len(ids), []
         a = ids.astype(np.uint16 if n and ids.max() < 1 << 16 else np.uint32)
         for level in range(int(a.max()).bit_length() - 1 if n else 0, -1, -1):
-            bit = (a & a.dtype.type(1 << level)) != 0
+            bit = ((a >> a.dtype.type(level)).astype(np.uint8) & 1).view(bool)
             packed = np.packbits(bit, bitorder="little")
             padded = np.zeros(-(-len(packed) // (BLOCK // 8)) * (BLOCK // 8), np.uint8)
             padded[: len(packed)] = packed
@@ -77,7 +61,10 @@ class WaveletMatrix:
             np.cumsum(per[:-1], out=before[1:])
             ones = int(per.sum())
             planes.append((n - ones, before, padded))
-            a = np.concatenate([a[~bit], a[bit]])
+            moved = np.empty_like(a)  # places are taken, as a mask of such bits is slow to follow
+            np.take(a, np.flatnonzero(~bit), out=moved[: n - ones], mode="clip")
+            np.take(a, np.flatnonzero(bit), out=moved[n - ones :], mode="clip")
+            a = moved
         return cls(n, planes)
 
     def _ones(self, plane: tuple, i: int) -> int:
@@ -145,8 +132,8 @@ class WaveletMatrix:
         for level, (zeros, _, bits) in enumerate(reversed(self.planes)):
             bit = np.unpackbits(bits, count=self.n, bitorder="little").view(bool)
             up = np.empty(self.n, kind)
-            up[~bit] = values[:zeros]
-            up[bit] = values[zeros:] | kind(1 << level)
+            up[np.flatnonzero(~bit)] = values[:zeros]
+            up[np.flatnonzero(bit)] = values[zeros:] | kind(1 << level)
             values = up
         return values.astype("<u4")
 
@@ -182,6 +169,8 @@ class ByteLevelEncoder:
 
     #: Places where cutting before every blank would part a run of white space that belongs together.
     RUNS = re.compile(r"\s \s|\s \Z")
+    #: In ASCII text there is no such place without one of these.
+    PAIRS = [f"{c} " for c in " \t\n\x0b\x0c\r\x1c\x1d\x1e\x1f"]
     #: The pre-tokenizer's own pattern.
     PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 
@@ -196,14 +185,12 @@ class ByteLevelEncoder:
         self.tokenizer.no_padding()
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.model, self.symbols = self.tokenizer.model, str.maketrans(dict(enumerate(byte_symbols())))
-        self.blank_first = np.zeros(max(self.tokenizer.get_vocab().values()) + 1, bool)
-        self.blank_first[[i for name, i in self.tokenizer.get_vocab(with_added_tokens=False).items() if name.startswith(chr(ord(" ") + 256))]] = True
         settings = json.loads(self.tokenizer.to_str())
         if settings["normalizer"] or settings["pre_tokenizer"] != self.CUTS or settings["model"]["type"] != "BPE":
             raise ValueError("a tokenizer that cuts its texts in another way")
         self.piece = Memo(self.merged, 60_000)
         self.first = Memo(self.chunk, 20_000)
-        self.later = Memo(self.word, 1_000_000)
+        self.later = Memo(self.word, 900_000)
 
     def library(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
@@ -213,14 +200,11 @@ class ByteLevelEncoder:
         return array("I", [t.id for t in self.model.tokenize(piece.encode().decode("latin-1").translate(self.symbols))]).tobytes()
 
     def word(self, part: str) -> bytes:
-        """What stands between two blanks, with the first of them. A line end between letters or their stop and letters is a piece of its own."""
+        """What stands between two blanks, with the first of them. Letters, or letters and a stop, need no pattern."""
         if part.isalpha():
             return self.merged(" " + part)
-        before, line, after = part.partition("\n")
-        if line and after.isalpha() and before:
-            letters = before if before.isalpha() else before[:-1]
-            if letters is before or before[-1] in {".", ","} and letters.isalpha():
-                return self.merged(" " + letters) + (self.piece[before[-1]] if letters is not before else b"") + self.piece["\n"] + self.merged(after)
+        if part[-1:] in {".", ","} and part[:-1].isalpha():
+            return self.later[part[:-1]] + self.piece[part[-1]]
         return self.chunk(" " + part)
 
     def chunk(self, text: str) -> bytes:
@@ -228,79 +212,12 @@ class ByteLevelEncoder:
             return self.library(text)
         return b"".join(map(self.piece.__getitem__, self.PIECES.findall(text)))
 
-    def looked_up(self, words: pa.Array) -> list[bytes]:
-        """The ids of each word behind a blank. New words of letters go to the library many in one call: each begins with the one token that holds its blank."""
-        known, older = words.to_numpy(zero_copy_only=False).tolist(), self.later.older
-        found = list(map(self.later.get, known))
-        missing = [i for i, x in enumerate(found) if x is None]
-        letters = pc.utf8_is_alpha(words.take(pa.array(missing, pa.int64()))).to_pylist()
-        new = []
-        for i, alpha in zip(missing, letters, strict=True):
-            if alpha and known[i] not in older:
-                new.append(i)
-            else:
-                found[i] = self.later[known[i]]
-        for start in range(0, len(new), TOGETHER):
-            part = new[start : start + TOGETHER]
-            ids = np.array(self.tokenizer.encode("".join(f" {known[i]}" for i in part), add_special_tokens=False).ids, "<u4")
-            first = 4 * np.flatnonzero(self.blank_first[ids])
-            if len(first) != len(part):
-                raise ValueError("a word of letters is not one piece")
-            raw, stops = ids.tobytes(), [*first[1:].tolist(), 4 * len(ids)]
-            values = [raw[a:b] for a, b in zip(first.tolist(), stops, strict=True)]
-            for i, x in zip(part, values, strict=True):
-                found[i] = x
-            self.later.keep_all((known[i] for i in part), values)
-        return found
-
-    def encode(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
-        """(ids of all texts, each with its end id; ids of each text). Every distinct word of the batch is looked up once, and the
-        ids are put in place by array operations. A text's first word has no blank before it; it, or a text with runs of white
-        space as a whole, is an entry of its own, and so is the end id."""
-        n, lists = len(texts), pc.split_pattern(texts, " ")
-        offsets = lists.offsets.to_numpy().astype(np.int64)
-        words = lists.flatten()
-        coded = words.dictionary_encode()
-        entry = coded.indices.to_numpy().copy()
-        # A stop behind letters is a piece of its own, so such a word is looked up without it.
-        bare, stops = coded.dictionary, []
-        for x in STOPS:
-            cut = pc.utf8_slice_codeunits(coded.dictionary, 0, -len(x))
-            stops.append(pc.and_(pc.ends_with(coded.dictionary, x), pc.utf8_is_alpha(cut)))
-            bare = pc.if_else(stops[-1], cut, bare)
-        bases = bare.dictionary_encode()
-        distinct = self.looked_up(bases.dictionary)
-        first, base = len(distinct), bases.indices.to_numpy()
-        distinct += map(self.first.__getitem__, words.take(pa.array(offsets[:-1])).to_pylist())
-        stop = np.zeros(len(base), np.int32)
-        for x, at in zip(STOPS, stops, strict=True):
-            stop[at.to_numpy(zero_copy_only=False)] = len(distinct)
-            distinct.append(self.piece[x])
-        distinct.append(np.array([end_id], "<u4").tobytes())
-        ending, entry = stop[entry], base[entry]
-        ending[offsets[:-1]] = 0
-        final = pc.utf8_slice_codeunits(bases.dictionary, -1).dictionary_encode()
-        odd = np.fromiter((not c or c.isspace() for c in final.dictionary.to_pylist()), bool)[final.indices.to_numpy()]
-        for i in np.unique(np.searchsorted(offsets, np.flatnonzero(odd[entry]), side="right") - 1).tolist() if odd.any() else []:
-            text = texts[i].as_py()  # only where a word ends in white space, or is none, can there be a run of it
-            if self.RUNS.search(text):
-                distinct[first + i] = self.chunk(text)
-                entry[offsets[i] + 1 : offsets[i + 1]] = len(distinct)
-                ending[offsets[i] + 1 : offsets[i + 1]] = 0
-        distinct.append(b"")
-        entry[offsets[:-1]] = np.arange(first, first + n)
-        stopped = np.flatnonzero(ending)
-        entry = np.insert(entry, np.concatenate([stopped + 1, offsets[1:]]), np.concatenate([ending[stopped], np.full(n, len(distinct) - 2)]))
-        sizes = np.fromiter(map(len, distinct), np.int64, len(distinct)) // 4
-        table = np.frombuffer(b"".join(distinct), "<u4")
-        counts = sizes[entry]
-        ends = np.cumsum(counts)
-        total = int(ends[-1]) if len(ends) else 0
-        kind = np.int32 if max(total, len(table)) < 1 << 31 else np.int64
-        at = np.repeat(((np.cumsum(sizes) - sizes)[entry] - (ends - counts)).astype(kind), counts)
-        at += np.arange(total, dtype=kind)
-        closing = np.flatnonzero(entry == len(distinct) - 2)
-        return table[at], np.diff(np.concatenate([[0], ends[closing]]))
+    def encode(self, text: str) -> bytes:
+        """The ids as little-endian 32-bit integers."""
+        if (not text.isascii() or any(x in text for x in self.PAIRS)) and self.RUNS.search(text):
+            return self.chunk(text)
+        first, *later = text.split(" ")
+        return self.first[first] + b"".join(map(self.later.__getitem__, later))
 
 
 ENCODERS = Memo(ByteLevelEncoder, 4)
@@ -310,25 +227,23 @@ def write_files(docs: DataFrame, tokenizer: str, end_id: int = 0, text: str = "t
     """Encodes all texts and writes the files; returns their table. One shuffle: by ranges of doc_id, so that parts follow each other."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, part = ENCODERS[tokenizer], TaskContext.get().partitionId()
+        encoder, end, part = ENCODERS[tokenizer], np.array([end_id], "<u4").tobytes(), TaskContext.get().partitionId()
         seq, doc_ids, lengths, ids, size = 0, [], [], [], 0
 
         def file() -> pa.RecordBatch:
-            blob = pack(doc_ids, lengths, np.concatenate(ids))
+            blob = pack(doc_ids, lengths, np.frombuffer(b"".join(ids), "<u4"))
             return pa.RecordBatch.from_pydict({"part": pa.array([part], pa.int32()), "seq": pa.array([seq], pa.int32()), "n_tokens": pa.array([size], pa.int64()), "file": pa.array([blob], pa.binary())})
 
         for batch in batches:
-            for rows in pieces(batch, 1, BATCH_BYTES):
-                got, counts = encoder.encode(rows.column(1).fill_null(""), end_id)
-                ends = np.cumsum(counts)
-                for k, n, stop in zip(rows.column(0).to_pylist(), counts.tolist(), ends.tolist(), strict=True):
-                    if size >= file_tokens:
-                        yield file()
-                        seq, doc_ids, lengths, ids, size = seq + 1, [], [], [], 0
-                    doc_ids.append(k)
-                    lengths.append(n)
-                    ids.append(got[stop - n : stop])
-                    size += n
+            for k, x in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                if size >= file_tokens:
+                    yield file()
+                    seq, doc_ids, lengths, ids, size = seq + 1, [], [], [], 0
+                got = encoder.encode(x.as_py() or "") + end
+                doc_ids.append(k)
+                lengths.append(len(got) // 4)
+                ids.append(got)
+                size += len(got) // 4
         if doc_ids:
             yield file()
 
