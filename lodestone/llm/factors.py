@@ -16,9 +16,9 @@ where a factor of the minimum length can start at all:
 3. A row's factors of sufficient length all hold its anchor, so they are one span; spans are merged
    for each text and cut out.
 
-A gram with more than GROUP_ROWS rows is first divided: its earliest row is held against every
-other one, and only what extends beyond that match, to the left or to the right, goes on, into groups
-that agree on one byte more. Nothing is left out, and no task holds more than a bounded group.
+A gram with more than GROUP_ROWS rows is no group for one task. Whether the LPF of a row reaches the
+minimum is then told by an exact aggregate over hashes of its windows, with the same spans; nothing
+is left out, and no task holds more than a bounded group.
 
 keep="none" removes every occurrence, keep="first" all but the first by (doc_id, position), in any
 case judged on the input. Whole copies of a text are handled by their digest. With `passages` also
@@ -48,8 +48,8 @@ from ._common import runs, written
 MIN_LENGTH = 400
 #: Bytes of a passage: 51 words, at the least of 4.9 bytes a word with its blank that ordinary text has.
 PASSAGE = 250
-#: Rows of a gram that a task looks at together; more are divided first.
-GROUP_ROWS = 2_000
+#: Rows of a gram that a task looks at together, some 400 bytes each; beyond, their windows are counted.
+GROUP_ROWS = 20_000
 #: Grams looked at together, and bits of their places in a combined value.
 PLACE_BITS = 20
 BATCH_ROWS = 8_192
@@ -343,51 +343,30 @@ def _grouped(rows: DataFrame, lengths: Lengths) -> DataFrame:
     return ordered.mapInArrow(run, _SPAN)
 
 
-def _divided(rows: DataFrame, lengths: Lengths) -> DataFrame:
-    """Holds every row of a group against the group's earliest one. Gives spans, and rows again: those whose context goes on beyond the
-    match, in groups that agree with them on it and one byte more. Any longer match of two rows lies within such a group.
-    Offsets from `low` to `high` are what a group still has to answer for."""
-    k, far = lengths.gram, lengths.reach[1] + lengths.gram
-    position = F.struct(F.coalesce("id", F.lit(-(1 << 63))).alias("id"), "digest", "place")
-    first = rows.groupBy("gram").agg(F.min_by(F.struct("id", "digest", "place", "left", "right"), position).alias("f"))
-    both = rows.join(first, "gram").select(*_ROW, "low", "high", *[F.col(f"f.{c}").alias(f"f_{c}") for c in _ROW[1:]])
-    names = [*_ROW, "low", "high", "start", "end", "earlier"]
-
-    def key(gram: int, kind: bytes, context: bytes) -> int:
-        return xxhash.xxh64_intdigest(kind + context, seed=gram & (1 << 64) - 1) - (1 << 63)
+def _counted(rows: DataFrame, lengths: Lengths) -> DataFrame:
+    """Spans of grams with more rows than a task should hold, by an aggregate over hashes of their windows, which is combined before
+    it is dealt: a window's least position is its first occurrence. A row's windows hold its anchor, so they are one span again."""
+    k, before = lengths.gram, lengths.reach[0]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            columns = [c.to_pylist() for c in batch.columns]
-            (left, nl), (right, nr), (fl, nfl), (fr, nfr) = (side(columns[i], lengths.reach[r]) for i, r in ((4, 0), (5, 1), (11, 0), (12, 1)))
-            same = [np.minimum(np.where(d.any(axis=1), d.argmax(axis=1), d.shape[1]), np.minimum(a, b)).tolist() for d, a, b in ((left != fl, nl, nfl), (right != fr, nr, nfr))]
-            out: list[list] = [[] for _ in names]
-            again: dict[tuple, list[int]] = {}
-            for i, (gram, id_, digest, place, left_, right_, low, high, f_id, f_digest, f_place, *_) in enumerate(zip(*columns, strict=True)):
-                if (digest, place) == (f_digest, f_place):
-                    continue  # the earliest row itself
-                a, b = same[0][i], same[1][i]
-                new = []
+            for gram, key, d, place, left, right in zip(*(batch.column(i).to_pylist() for i in range(6)), strict=True):
+                data = np.frombuffer(left[::-1] + right, np.uint8)
                 for earlier, least in ((True, lengths.first), (False, lengths.any)):
-                    if least and a + k + b >= least:
-                        new.append((None, id_, digest, None, None, None, None, None, place - a, place + k + b, earlier))
-                        if not earlier:
-                            end = again.setdefault((f_id, f_digest, f_place), [0, 0])
-                            end[:] = max(end[0], a), max(end[1], b)
-                if a < min(len(left_), high):
-                    new.append((key(gram, b"l", left_[: a + 1]), id_, digest, place, left_, right_, max(low, a + 1), high, None, None, None))
-                if b < len(right_) and (top := min(high, a, far - k - b - 1)) >= low:
-                    new.append((key(gram, b"r", right_[: b + 1]), id_, digest, place, left_, right_, low, top, None, None, None))
-                for values in new:
-                    for column, v in zip(out, values, strict=True):
-                        column.append(v)
-            for (id_, digest, place), (a, b) in again.items():  # the earliest row occurs again, too
-                for column, v in zip(out, (None, id_, digest, None, None, None, None, None, place - a, place + k + b, False), strict=True):
-                    column.append(v)
-            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.bool_()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, kinds, strict=True)], names=names)
-
-    return both.mapInArrow(run, "gram bigint, id bigint, digest bigint, place int, left binary, right binary, low int, high int, start bigint, end bigint, earlier boolean")
+                    if not least or len(data) < least - k:
+                        continue
+                    hashes = gram_hashes(data, least - k).view(np.int64)[max(0, len(left) - before) : len(left) + 1]
+                    n = len(hashes)
+                    offsets = len(left) - max(0, len(left) - before) - np.arange(n)
+                    yield pa.RecordBatch.from_arrays([pa.array(hashes), *(pa.repeat(pa.scalar(v, t), n) for v, t in ((gram, pa.int64()), (key, pa.int64()), (d, pa.int64()), (place, pa.int32()), (earlier, pa.bool_()))), pa.array(offsets.astype(np.int32))], names=["window", "gram", "id", "digest", "place", "earlier", "t"])
+
+    windows = rows.select(*_ROW).mapInArrow(run, "window bigint, gram bigint, id bigint, digest bigint, place int, earlier boolean, t int")
+    at = F.struct(F.coalesce("id", F.lit(-(1 << 63))).alias("id"), "digest", "place")
+    found = windows.groupBy("gram", "earlier", "t", "window").agg(F.min(at).alias("low"), F.max(at).alias("high")).where("low <> high")
+    back = windows.join(found, ["gram", "earlier", "t", "window"]).where(~F.col("earlier") | (at != F.col("low")))
+    size = F.when(F.col("earlier"), F.lit(lengths.first)).otherwise(F.lit(lengths.any))
+    ends = back.groupBy("gram", "id", "digest", "place", "earlier").agg(F.min(F.col("place") - F.col("t")).alias("start"), F.max(F.col("place") - F.col("t") + size).alias("end"))
+    return ends.select("id", "digest", F.col("start").cast("long"), F.col("end").cast("long"), "earlier")
 
 
 def _cut(texts: DataFrame, lengths: Lengths, own: list[str], text_out: bool) -> DataFrame:
@@ -471,18 +450,12 @@ def repeated_spans(docs: DataFrame, lengths: Lengths, group_rows: int = GROUP_RO
     span = ["id", "digest", "start", "end", "earlier"]
     spans = contexts.where("gram is null").select(*span)
     groups = contexts.where("gram is not null").select(*_ROW)
-    while True:
-        counts = groups.groupBy("gram").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1")
-        spans = spans.unionAll(_grouped(groups.join(counts.where(F.col("rows") <= group_rows), "gram", "left_semi"), lengths))
-        large = counts.where(F.col("rows") > group_rows).select("gram")
-        if not large.limit(1).count():
-            return spans, copies
-        groups = groups.join(large, "gram", "left_semi")
-        if "low" not in groups.columns:
-            groups = groups.withColumns({"low": F.lit(0), "high": F.lit(lengths.reach[0])})
-        made = written(_divided(groups, lengths), "divided")
-        spans = spans.unionAll(made.where("gram is null").select(*span).distinct())
-        groups = made.where("gram is not null").select(*_ROW, "low", "high")
+    counts = groups.groupBy("gram").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1")
+    spans = spans.unionAll(_grouped(groups.join(counts.where(F.col("rows") <= group_rows), "gram", "left_semi"), lengths))
+    large = counts.where(F.col("rows") > group_rows).select("gram")
+    if large.limit(1).count():
+        spans = spans.unionAll(_counted(groups.join(large, "gram", "left_semi"), lengths))
+    return spans, copies
 
 
 def deduplicated(docs: DataFrame, key: str = "doc_id", text: str = "text", min_length: int = MIN_LENGTH, keep: str = "none", passages: int | None = None, group_rows: int = GROUP_ROWS, whole_rows: bool = False) -> DataFrame:
