@@ -33,7 +33,7 @@ empty result. Extra columns, whatever their names, are carried by whole_rows and
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -49,7 +49,9 @@ MIN_LENGTH = 400
 #: Bytes of a passage: 51 words, at the least of 4.9 bytes a word with its blank that ordinary text has.
 PASSAGE = 250
 #: Rows of a gram that a task looks at together, some 400 bytes each; beyond, their windows are counted.
-GROUP_ROWS = 20_000
+GROUP_ROWS = 50_000
+#: Entries of tree nodes that are worked on together.
+NODE_ROWS = 1 << 17
 #: Grams looked at together, and bits of their places in a combined value.
 PLACE_BITS = 20
 BATCH_ROWS = 8_192
@@ -165,9 +167,10 @@ def side(contexts: list[bytes], reach: int) -> tuple[np.ndarray, np.ndarray]:
     return m, size
 
 
-def longest_factors(group: np.ndarray, left: list[bytes], right: list[bytes], reach: tuple[int, int]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def longest_factors(group: np.ndarray, left: list[bytes], right: list[bytes], reach: tuple[int, int]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
     """(row, depth, previous, any) for the suffixes that start depth bytes before their anchors: how far behind the gram the longest
-    match with an earlier row, and with any other, goes; -1 for none. Rows stand in the order of their positions within their group; left is reversed."""
+    match with an earlier row, and with any other, goes; -1 for none. Rows stand in the order of their positions within their group;
+    left is reversed. Given in parts of some NODE_ROWS entries."""
     n = len(left)
     lo, ll = agreement(*side(left, reach[0]), group)
     ro, rl = agreement(*side(right, reach[1]), group)
@@ -177,15 +180,22 @@ def longest_factors(group: np.ndarray, left: list[bytes], right: list[bytes], re
     # The tree over common endings: each of its nodes is a run of rows in left order, bounded by smaller agreements.
     low, high = smaller_on_both_sides(ll, np.arange(n) == 0)
     inner = np.flatnonzero(ll >= 0)
-    runs_, at = np.unique(low[inner] * np.int64(n + 1) + np.where(high[inner] < 0, n, high[inner]), return_index=True)
-    starts, stops, depth = runs_ // (n + 1), runs_ % (n + 1), ll[inner[at]]
-    sizes = stops - starts
+    ends, at = np.unique(low[inner] * np.int64(n + 1) + np.where(high[inner] < 0, n, high[inner]), return_index=True)
+    starts, sizes, depths = ends // (n + 1), ends % (n + 1) - ends // (n + 1), ll[inner[at]]
+    part = np.cumsum(sizes) // NODE_ROWS
+    for cut in np.split(np.arange(len(sizes)), np.flatnonzero(np.diff(part)) + 1):
+        if len(cut):
+            yield _of_nodes(lo, rank, least, starts[cut], sizes[cut], depths[cut])
+
+
+def _of_nodes(lo: np.ndarray, rank: np.ndarray, least: RangeMinimum, starts: np.ndarray, sizes: np.ndarray, depths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The factors of the rows of some nodes: one pass in suffix order for previous and next smaller positions."""
     node = np.repeat(np.arange(len(sizes)), sizes)
     row = lo[np.repeat(starts - (np.cumsum(sizes) - sizes), sizes) + np.arange(int(sizes.sum()))]
     order = np.lexsort((rank[row], node))
     node, row = node[order], row[order]
     place = rank[row]
-    first = np.append(True, node[1:] != node[:-1]) if len(node) else np.empty(0, bool)
+    first = np.append(True, node[1:] != node[:-1])
     before, after = smaller_on_both_sides(row, first)
 
     def match(i: np.ndarray, j: np.ndarray, there: np.ndarray) -> np.ndarray:
@@ -195,18 +205,22 @@ def longest_factors(group: np.ndarray, left: list[bytes], right: list[bytes], re
 
     every = np.arange(len(row))
     previous = np.maximum(match(before, every, before >= 0), match(every, after, after >= 0))
-    last = np.append(first[1:], True) if len(node) else first
-    return row, depth[node], previous, np.maximum(match(every - 1, every, ~first), match(every, every + 1, ~last))
+    last = np.append(first[1:], True)
+    return row, depths[node], previous, np.maximum(match(every - 1, every, ~first), match(every, every + 1, ~last))
 
 
-def spans_of(row: np.ndarray, depth: np.ndarray, beyond: np.ndarray, k: int, least: int | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(rows, bytes before the anchor, bytes behind the gram) of each row's factors of at least so many bytes; they overlap in the anchor, so they are one span."""
-    held = np.flatnonzero((beyond >= 0) & (depth + k + beyond >= least)) if least else np.empty(0, np.int64)
-    rows, at = np.unique(row[held], return_inverse=True)
-    out = np.zeros((2, len(rows)), np.int64)
-    np.maximum.at(out[0], at, depth[held])
-    np.maximum.at(out[1], at, beyond[held])
-    return rows, out[0], out[1]
+def spans_of(parts: Iterable[tuple[np.ndarray, ...]], n: int, k: int, leasts: dict[bool, int | None]) -> dict[bool, tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """For matches with earlier rows (True) and with any (False): (rows, bytes before the anchor, bytes behind the gram) of each row's
+    factors of at least so many bytes; they overlap in the anchor, so they are one span."""
+    out = {e: np.full((2, n), -1, np.int64) for e, least in leasts.items() if least}
+    for row, depth, previous, other in parts:
+        for e, ends in out.items():
+            beyond = previous if e else other
+            held = np.flatnonzero((beyond >= 0) & (depth + k + beyond >= leasts[e]))
+            np.maximum.at(ends[0], row[held], depth[held])
+            np.maximum.at(ends[1], row[held], beyond[held])
+    none = np.empty(0, np.int64)
+    return {e: (rows := np.flatnonzero(out[e][0] >= 0), *out[e][:, rows]) if e in out else (none, none, none) for e in (True, False)}
 
 
 def _texts(docs: DataFrame, key: str, text: str) -> DataFrame:
@@ -323,8 +337,8 @@ def _grouped(rows: DataFrame, lengths: Lengths) -> DataFrame:
         def work() -> pa.RecordBatch:
             t = pa.concat_tables([x for _, x in held]).combine_chunks()
             group = np.repeat(np.arange(1, len(held) + 1), [x.num_rows for _, x in held])
-            row, depth, previous, other = longest_factors(group, t.column(4).to_pylist(), t.column(5).to_pylist(), lengths.reach)
-            found = {True: spans_of(row, depth, previous, k, lengths.first), False: spans_of(row, depth, other, k, lengths.any)}
+            factors = longest_factors(group, t.column(4).to_pylist(), t.column(5).to_pylist(), lengths.reach)
+            found = spans_of(factors, t.num_rows, k, {True: lengths.first, False: lengths.any})
             return _span_batch(t.column(1).chunk(0), t.column(2).chunk(0), t.column(3).to_numpy().astype(np.int64), found, k)
 
         for gram, t in runs(batches):
@@ -376,9 +390,12 @@ def _cut(texts: DataFrame, lengths: Lengths, own: list[str], text_out: bool) ->
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sizes, removed, count, digests, cut, kept = [], [], [], [], [], []
-            for x, spans, whole, later in zip(batch.column("text").cast(pa.binary()), batch.column("spans").to_pylist(), batch.column("whole").to_pylist(), batch.column("later").to_pylist(), strict=True):
-                raw = x.as_py()
-                of = [merge([(s["start"], s["end"]) for s in spans or [] if s["earlier"] is e]) for e in (True, False)]
+            lists, values = batch.column("spans"), batch.column("spans").values
+            at = lists.offsets.to_numpy().tolist()
+            start, end, earlier = (values.field(f).to_numpy(zero_copy_only=False) for f in ("start", "end", "earlier"))
+            for i, (x, whole, later) in enumerate(zip(batch.column("text").cast(pa.binary()), batch.column("whole").to_pylist(), batch.column("later").to_pylist(), strict=True)):
+                raw, own_ = x.as_py(), slice(at[i], at[i + 1])
+                of = [merge(zip(start[own_][e].tolist(), end[own_][e].tolist(), strict=True)) for e in (earlier[own_], ~earlier[own_])] if at[i] < at[i + 1] else [[], []]
                 if later and raw:
                     of[0] = [[0, len(raw)]]
                 if whole and raw:
@@ -401,7 +418,7 @@ def _cut(texts: DataFrame, lengths: Lengths, own: list[str], text_out: bool) ->
     return texts.select(*own, "text", "spans", "whole", "later").mapInArrow(run, schema)
 
 
-def merge(spans: list[tuple[int, int]]) -> list[list[int]]:
+def merge(spans: Iterable[tuple[int, int]]) -> list[list[int]]:
     out: list[list[int]] = []
     for a, b in sorted(spans):
         if out and a <= out[-1][1]:

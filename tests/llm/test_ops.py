@@ -187,15 +187,16 @@ def test_repeated_rows_are_one_document(spark):
     assert got == [(1, 0), (1, 0), (2, 600), (3, 450)]
 
 
-def test_longest_factors_of_rows():
+def test_longest_factors_of_rows(monkeypatch):
     """The LPF of every suffix that starts at a branching of the contexts, against all pairs of rows."""
+    monkeypatch.setattr(factors, "NODE_ROWS", 30)
     rng = random.Random(6)
     agree = lambda a, b: next((i for i, (x, y) in enumerate(zip(a, b, strict=False)) if x != y), min(len(a), len(b)))
     for size in (2, 3, 9, 40):
         group = np.repeat([1, 2, 3], size)
         rows = [tuple("".join(rng.choice("ab") for _ in range(rng.randrange(9))).encode() for _ in range(2)) for _ in group]
-        row, depth, previous, other = factors.longest_factors(group, [a for a, _ in rows], [b for _, b in rows], (9, 9))
-        got = {(r, d): (p, o) for r, d, p, o in zip(row.tolist(), depth.tolist(), previous.tolist(), other.tolist(), strict=True)}
+        parts = factors.longest_factors(group, [a for a, _ in rows], [b for _, b in rows], (9, 9))
+        got = {(r, d): (p, o) for part in parts for r, d, p, o in zip(*(x.tolist() for x in part), strict=True)}
         want = {}
         for i, (a, b) in enumerate(rows):
             others = [(j, agree(a, x), agree(b, y)) for j, (x, y) in enumerate(rows) if j != i and group[j] == group[i]]
