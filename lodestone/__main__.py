@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import argparse
+from collections.abc import Callable
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,15 +11,16 @@ from pyspark.sql import DataFrame, SparkSession
 from .operators import finalize, profile, reports
 from .operators.resolve import labelled
 from .sources import card, corpus, gzip_repair, publish
+from .sources.shared import stored
 from .streaming.incremental import extract_new, extracted
 
 
-def _files(spark: SparkSession, a: argparse.Namespace, profile_name: str) -> DataFrame:
-    """Files of the corpus, or of evenly spaced shards of it."""
+def _files(spark: SparkSession, a: argparse.Namespace, profile_name: str, kept: Callable[[DataFrame], DataFrame] = lambda repos: repos) -> DataFrame:
+    """Files of the corpus, or of evenly spaced shards of it, in those repositories that are kept."""
     if not a.shards:
-        return corpus.flatten(corpus.read_corpus(spark, a.source, profile_name))
+        return corpus.flatten(kept(corpus.read_corpus(spark, a.source, profile_name)))
     numbers = [r.shard for r in corpus.sample_indices(spark, a.shards, a.total_shards).collect()]
-    return corpus.flatten(corpus.read_corpus(spark, [corpus.shard_path(a.source, n, a.revision) for n in numbers], profile_name))
+    return corpus.flatten(kept(corpus.read_corpus(spark, [corpus.shard_path(a.source, n, a.revision) for n in numbers], profile_name)))
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -56,11 +58,11 @@ def main(argv: list[str] | None = None) -> None:
         rows = reports.measured(files, labelled(files))
         save(reports.measure_precision(rows), "precision")
         save(reports.measure_recall(rows), "recall")
-        save(reports.unlabelled_profile(rows), "unlabelled")
+        save(reports.unlabelled_top(reports.unlabelled_profile(rows)), "unlabelled")
     elif a.command == "extract" and a.checkpoint:
         extract_new(spark, a.source, a.out, a.checkpoint)
     elif a.command == "extract":
-        for unit_type, records in extracted(_files(spark, a, "content")).items():
+        for unit_type, records in extracted(stored(_files(spark, a, "content", corpus.unforked), "files")).items():
             records.write.mode("errorifexists").option("compression", "gzip").json(f"{a.out}/run={a.run_tag}/unit_type={unit_type}")
     elif a.command in ("finalize", "publish", "summary"):
         units = corpus.read_units(spark, a.source, publish.schema_ddl(a.config))

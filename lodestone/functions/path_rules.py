@@ -120,9 +120,9 @@ NOISE_DIRECTORIES = [r"\.terraform", r"\.terragrunt-cache", "node_modules", "ven
 NOISE = Pattern(f"{SEGMENT}({'|'.join(NOISE_DIRECTORIES)})/", "i")
 
 # What the sizing scan looks at before its rules, and what unit detection does.
-_SCAN_EXTENSIONS = "tf tfvars hcl ya?ml nix rego jsonnet libsonnet cue bzl pp sls sh bash zsh conf cfg service timer socket mount target path tpl rb json dockerfile containerfile"
-_SCAN_NAMES = "Dockerfile Containerfile Makefile GNUmakefile Jenkinsfile Vagrantfile BUILD WORKSPACE MODULE Justfile Earthfile ansible inventory hosts"
-SCAN_PREFILTER = Pattern(rf"\.({_SCAN_EXTENSIONS.replace(' ', '|')})$|{SEGMENT}({_SCAN_NAMES.replace(' ', '|')})[^/]*$", "i")
+SCAN_EXTENSIONS = ["tf", "tfvars", "hcl", r"ya?ml", "nix", "rego", "jsonnet", "libsonnet", "cue", "bzl", "pp", "sls", "sh", "bash", "zsh", "conf", "cfg", "service", "timer", "socket", "mount", "target", "path", "tpl", "rb", "json", "dockerfile", "containerfile"]
+SCAN_NAMES = ["Dockerfile", "Containerfile", "Makefile", "GNUmakefile", "Jenkinsfile", "Vagrantfile", "BUILD", "WORKSPACE", "MODULE", "Justfile", "Earthfile", "ansible", "inventory", "hosts"]
+SCAN_PREFILTER = Pattern(rf"\.({'|'.join(SCAN_EXTENSIONS)})$|{SEGMENT}({'|'.join(SCAN_NAMES)})[^/]*$", "i")
 UNIT_PREFILTER = Pattern(rf"Chart{YAML}|values[^/]*{YAML}|kustomization{YAML}|compose[^/]*{YAML}|\.tf$|templates/|roles/", "i")
 
 YAML_FILE = Pattern(rf"{YAML}$", "i")

@@ -21,9 +21,10 @@ SCHEMA = (
 )
 
 # Keys that only a play or a task has.
-ANSIBLE_KEYS = frozenset(
-    "hosts tasks roles handlers become gather_facts vars_files pre_tasks post_tasks include_tasks import_tasks import_playbook block when loop with_items register notify delegate_to set_fact".split()
-)
+ANSIBLE_KEYS = {
+    "hosts", "tasks", "roles", "handlers", "become", "gather_facts", "vars_files", "pre_tasks", "post_tasks", "include_tasks",
+    "import_tasks", "import_playbook", "block", "when", "loop", "with_items", "register", "notify", "delegate_to", "set_fact",
+}
 NOTHING: dict[str, Any] = {
     "parsed": False, "is_k8s": False, "is_gha": False, "is_ansible": False, "is_compose": False, "is_chart_meta": False, "top_keys": [],
     "jobs": 0, "steps": 0, "uses_actions": 0, "triggers": [], "has_permissions": False,
@@ -35,10 +36,11 @@ def documents(text: str | None) -> list | None:
     """Every document of a text; None when any part does not parse, whatever the parser raises."""
     import yaml
 
+    loader = getattr(yaml, "CSafeLoader", yaml.SafeLoader)  # libyaml's, where it is there
     if text is None or len(text) > MOST_CHARS:
         return None
     try:
-        return list(yaml.safe_load_all(text))
+        return list(yaml.load_all(text, Loader=loader))
     except Exception:  # hostile tags raise KeyError, ValueError, RecursionError and more
         return None
 

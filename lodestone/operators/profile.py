@@ -6,25 +6,18 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import star_bucket
+from ..sources.publish import QUALITY
 
-SEED = 20_260_728
-NUMERIC = {
-    "helm_chart": ["templates", "templated_templates", "helpers"],
-    "terraform_module": ["tf_files", "declaring"],
-    "ansible_role": ["task_files"],
-    "manifest_set": ["manifests"],
-    "dockerfile": ["stages", "instructions"],
-    "workflow": ["jobs", "steps", "uses_actions"],
-    "compose": ["services", "built_services"],
-}
-BOOLEAN = {
-    "helm_chart": ["has_values"],
-    "terraform_module": ["has_variables", "has_outputs"],
-    "ansible_role": ["has_defaults", "has_handlers", "has_templates"],
-    "dockerfile": ["multi_stage", "has_user", "has_healthcheck"],
-    "workflow": ["has_permissions"],
-    "compose": ["has_healthcheck", "has_volumes"],
-}
+SEED = 17
+
+
+def _fields(kind: str) -> dict[str, list[str]]:
+    """The quality fields of one type, by class, from the published schema."""
+    rows = {t: [f.split(": ") for f in ddl.split(", ")] for t, ddl in QUALITY.items()}
+    return {t: [name for name, type_ in fields if type_ == kind] for t, fields in rows.items()}
+
+
+NUMERIC, BOOLEAN = _fields("int"), _fields("boolean")
 
 
 def class_profile(units: DataFrame) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -120,7 +122,7 @@ def measure_precision(rows: DataFrame) -> DataFrame:
     chart = F.lower(basename(F.col("file_path"))).startswith("chart.")
     helm = F.when(chart, F.when(F.col("y.is_chart_meta"), "confirmed_chart_metadata").otherwise("unconfirmed")).when(F.col("templated"), "confirmed_templated").otherwise("chart_member_untemplated")
     verdict = verdict.when(F.col("tool") == "helm", helm)
-    return rows.withColumn("verdict", verdict).where("verdict is not null").groupBy("tool", "verdict").agg(F.count(F.lit(1)).alias("files"))
+    return rows.withColumn("verdict", verdict).where("verdict is not null").groupBy("tool", "verdict").agg(F.count(F.lit(1)).alias("files")).withColumn("pct", share(F.col("files"), "tool"))
 
 
 def measure_recall(rows: DataFrame) -> DataFrame:
@@ -146,6 +148,13 @@ def unlabelled_profile(rows: DataFrame) -> DataFrame:
     return out.groupBy("f.facet", "f.value").agg(F.count(F.lit(1)).alias("files"))
 
 
+def unlabelled_top(counts: DataFrame) -> DataFrame:
+    """The most frequent entries of each facet of an unlabelled profile."""
+    most = {"first_key": MOST_KEYS, "signature": MOST_SIGNATURES, "basename": MOST_NAMES, "unparseable": 2}
+    parts = [top(counts.where(F.col("facet") == facet), n, "files", "value") for facet, n in most.items()]
+    return reduce(DataFrame.unionAll, parts)
+
+
 def licence_distribution(files: DataFrame) -> DataFrame:
     return files.groupBy(or_else(F.col("license_type"), "null").alias("license")).agg(F.count(F.lit(1)).alias("files"), F.coalesce(F.sum("size_bytes"), F.lit(0)).alias("bytes"))
 

@@ -40,8 +40,19 @@ def read_corpus(spark: SparkSession, path: str | list[str], profile: str = "meta
     rows = spark.read.schema(PROFILES[profile]).option("ignoreCorruptFiles", "true").parquet(*([path] if isinstance(path, str) else path))
     if profile == "repo_only":
         return rows
-    shard = F.regexp_extract(F.col("_metadata.file_name"), r"(\d+)", 1)
-    return rows.select("*", F.coalesce(F.try_to_number(F.nullif(shard, F.lit("")), F.lit("999999999")).cast("int"), F.lit(0)).alias("shard"))
+    return rows.select("*", shard_number(F.col("_metadata.file_name")).alias("shard"))
+
+
+def shard_number(file_name: Column) -> Column:
+    """The first number in a shard file's name, 0 without one."""
+    digits = F.regexp_extract(file_name, r"(\d+)", 1)
+    return F.coalesce(F.try_to_number(F.nullif(digits, F.lit("")), F.lit("999999999")).cast("int"), F.lit(0))
+
+
+def unforked(repos: DataFrame) -> DataFrame:
+    """Repositories that are no forks, a missing mark counting as none; on the stored leaf, so that the filter reaches Parquet."""
+    fork = F.col("github_metadata.is_fork")
+    return repos.where(fork.isNull() | ~fork)
 
 
 def flatten(repos: DataFrame) -> DataFrame:
@@ -68,22 +79,25 @@ def row_group_sample(spark: SparkSession, path: str, first: int) -> DataFrame:
 
 
 def footer(spark: SparkSession, path: str) -> DataFrame:
-    """(file, row_group, rows, leaf, compressed_bytes) from Parquet footers, read on the executors as bytes that Spark hands over."""
-    import io
+    """(file, row_group, rows, leaf, compressed_bytes) from Parquet footers. Spark lists the files; each footer is read on an executor by
+    its place at the file's end, and no other byte."""
     from collections.abc import Iterator
 
     import pyarrow as pa
     import pyarrow.parquet as pq
+    from pyarrow.fs import FileSystem
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for name, content in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                meta = pq.ParquetFile(io.BytesIO(content.as_py())).metadata
+            for name in batch.column(0).to_pylist():
+                store, path = FileSystem.from_uri(name.replace("file:/", "file:///", 1) if name.startswith("file:/") and not name.startswith("file://") else name)
+                with store.open_input_file(path) as file:
+                    meta = pq.read_metadata(file)
                 rows = [(name.rsplit("/", 1)[-1], g, meta.row_group(g).num_rows, c.path_in_schema, c.total_compressed_size) for g in range(meta.num_row_groups) for c in (meta.row_group(g).column(i) for i in range(meta.num_columns))]
                 columns = list(zip(*rows, strict=True)) or [()] * 5
                 yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.string()), pa.array(columns[1], pa.int32()), pa.array(columns[2], pa.int64()), pa.array(columns[3], pa.string()), pa.array(columns[4], pa.int64())], names=["file", "row_group", "rows", "leaf", "compressed_bytes"])
 
-    files = spark.read.format("binaryFile").load(path).select("path", "content")
+    files = spark.read.format("binaryFile").load(path).select("path").repartition(8 * spark.sparkContext.defaultParallelism)
     return files.mapInArrow(run, "file string, row_group int, rows bigint, leaf string, compressed_bytes bigint")
 
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -89,15 +90,20 @@ def read_damaged(spark: SparkSession, path: str) -> DataFrame:
 
 
 def records(salvage: DataFrame) -> DataFrame:
-    """Lines with the record key and shard, whether they parse, and whether an equal record came before."""
+    """Lines with the record key and shard, whether they parse, and whether an equal record came before.
+
+    Behind a fault a damaged member yields garbage for a while, so of its lines only records with the whole key count as parsed;
+    `truncated` marks them all."""
     j = F.from_json("line", "repo_path string, unit_prefix string, unit_type string, commit_id string, shard int, _corrupt string", {"columnNameOfCorruptRecord": "_corrupt"})
-    rows = salvage.withColumn("j", j).select("name", "member", "seq", "truncated", "line", *[F.col(f"j.{k}").alias(k) for k in [*KEY, "shard"]], (F.col("j").isNotNull() & F.col("j._corrupt").isNull()).alias("parsed"))
+    whole = reduce(lambda a, b: a & b, (F.col(f"j.{k}").isNotNull() for k in KEY))
+    rows = salvage.withColumn("j", j).select("name", "member", "seq", "truncated", "line", *[F.col(f"j.{k}").alias(k) for k in [*KEY, "shard"]], (F.col("j").isNotNull() & F.col("j._corrupt").isNull() & (~F.col("truncated") | whole)).alias("parsed"))
     order = Window.partitionBy("name", "parsed", *KEY).orderBy("member", "seq")
     return rows.withColumn("first", F.row_number().over(order) == 1)
 
 
 def repaired(salvage: DataFrame) -> DataFrame:
-    return records(salvage).where("parsed and first").select("name", "member", "seq", "line")
+    """The first of each record, with a mark on those that a damaged member yielded."""
+    return records(salvage).where("parsed and first").select("name", "member", "seq", "truncated", "line")
 
 
 def counters(salvage: DataFrame) -> DataFrame:
@@ -108,5 +114,6 @@ def counters(salvage: DataFrame) -> DataFrame:
         F.count_if(F.col("parsed") & ~F.col("first")).alias("lines_duplicate"),
         F.count_if(~F.col("parsed")).alias("lines_unparseable"),
         F.count_distinct("member").alias("members_with_lines"),
+        F.count_distinct(F.when(F.col("truncated"), F.col("member"))).alias("members_truncated"),
         F.count_distinct(F.when(F.col("parsed"), F.col("shard"))).alias("shards_seen"),
     )

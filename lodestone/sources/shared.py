@@ -18,3 +18,11 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     path = f"{folder.rstrip('/')}/lodestone/{name}-{uuid.uuid4().hex}"
     df.write.mode("errorifexists").option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def removed(table: DataFrame) -> None:
+    """Takes a stored table away once nothing reads it any more, in whatever store it is."""
+    spark = table.sparkSession
+    for folder in {file.rsplit("/", 1)[0] for file in table.inputFiles()}:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

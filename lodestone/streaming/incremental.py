@@ -14,8 +14,8 @@ from ..operators.candidates import candidates
 from ..operators.gates import GATES, file_facts, unit_records
 from ..operators.resolve import labelled
 from ..operators.units import detect_units
-from ..sources.corpus import PROFILES, flatten, without_forks
-from ..sources.shared import stored
+from ..sources.corpus import PROFILES, flatten, shard_number, unforked, without_forks
+from ..sources.shared import removed, stored
 
 
 def extracted(files: DataFrame, unit_types: list[str] | None = None) -> dict[str, DataFrame]:
@@ -31,14 +31,13 @@ def extracted(files: DataFrame, unit_types: list[str] | None = None) -> dict[str
 def extract_new(spark: SparkSession, source: str, sink: str, checkpoint: str, files_per_batch: int = 64, unit_types: list[str] | None = None) -> None:
     """Takes what is new at source in batches of whole corpus files, and adds JSON lines of units under sink by class and batch."""
     stream = spark.readStream.schema(PROFILES["content"]).option("maxFilesPerTrigger", files_per_batch).parquet(source)
+    stream = stream.select("*", shard_number(F.col("_metadata.file_name")).alias("shard"))  # as a batch read has it
 
     def write(batch: DataFrame, number: int) -> None:
-        batch = batch.withColumn("shard", F.lit(int(number)))
-        kept = batch.sparkSession
-        path = f"{sink}/_staged/batch={number}"
-        flatten(batch).write.mode("overwrite").parquet(path)  # a batch is worked on from a stored table: a lost executor costs no second parse
-        for unit_type, records in extracted(kept.read.parquet(path), unit_types).items():
+        files = stored(flatten(unforked(batch)), "batch")  # a lost executor costs no second parse
+        for unit_type, records in extracted(files, unit_types).items():
             records.write.mode("overwrite").option("compression", "gzip").json(f"{sink}/unit_type={unit_type}/batch={number}")
+        removed(files)
 
     run_available(stream, write, checkpoint)
 

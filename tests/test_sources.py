@@ -71,10 +71,18 @@ def test_metadata_scan_reads_no_content(spark, tmp_path):
 
 def test_fork_filter_is_pushed_down(spark, tmp_path):
     make_corpus(spark, f"{tmp_path}/c")
-    plan = corpus.read_corpus(spark, f"{tmp_path}/c").where("not github_metadata.is_fork")._jdf.queryExecution().executedPlan().toString()
+    files = corpus.flatten(corpus.unforked(corpus.read_corpus(spark, f"{tmp_path}/c")))
+    assert files.count() == 6
+    plan = files._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [" in plan and "is_fork" in plan.split("PushedFilters: [")[1].split("]")[0]
 
 
+def test_a_damaged_member_yields_whole_records_only(spark):
+    lines = [("f", 0, 0, True, record(1).decode()), ("f", 0, 1, True, '{"repo_path": "r9c", "shard": 0}'), ("f", 1, 2, False, '{"repo_path": "r2"}')]
+    rows = gzip_repair.records(spark.createDataFrame(lines, "name string, member int, seq bigint, truncated boolean, line string")).orderBy("seq").collect()
+    assert [r.parsed for r in rows] == [True, False, True]
+
+
 def test_footer(spark, tmp_path):
     make_corpus(spark, f"{tmp_path}/c")
     shares = {r.leaf: r.share_pct for r in corpus.leaf_shares(corpus.footer(spark, f"{tmp_path}/c")).collect()}
