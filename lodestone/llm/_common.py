@@ -59,19 +59,15 @@ class Memo(dict):
 
     def __missing__(self, key):
         value = self.older.get(key)
-        return self.keep(key, self.make(key) if value is None else value)
-
-    def keep(self, key, value):
-        self.keep_all((key,), (value,))
+        if value is None:
+            value = self.make(key)
+        if len(key) <= self.LONGEST:
+            if len(self) >= self.most:
+                self.older = dict(self)
+                self.clear()
+            self[key] = value
         return value
 
-    def keep_all(self, keys, values) -> None:
-        """Keeps a few entries at once."""
-        if len(self) >= self.most:
-            self.older = dict(self)
-            self.clear()
-        self.update((k, v) for k, v in zip(keys, values, strict=True) if len(k) <= self.LONGEST)
-
 
 def runs(batches, key: int = 0):
     """From batches sorted by a column: (value, table) for each run of equal values, across batch borders. Holds one run at a time."""

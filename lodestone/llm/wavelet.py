@@ -183,8 +183,10 @@ class ByteLevelEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        added = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.marks = re.compile("|".join(added)) if added else None
         self.model, self.symbols = self.tokenizer.model, str.maketrans(dict(enumerate(byte_symbols())))
+        self.blank = byte_symbols()[32]
         settings = json.loads(self.tokenizer.to_str())
         if settings["normalizer"] or settings["pre_tokenizer"] != self.CUTS or settings["model"]["type"] != "BPE":
             raise ValueError("a tokenizer that cuts its texts in another way")
@@ -202,13 +204,15 @@ class ByteLevelEncoder:
     def word(self, part: str) -> bytes:
         """What stands between two blanks, with the first of them. Letters, or letters and a stop, need no pattern."""
         if part.isalpha():
+            if part.isascii():  # only the blank has another symbol than itself
+                return array("I", [t.id for t in self.model.tokenize(self.blank + part)]).tobytes()
             return self.merged(" " + part)
         if part[-1:] in {".", ","} and part[:-1].isalpha():
             return self.later[part[:-1]] + self.piece[part[-1]]
         return self.chunk(" " + part)
 
     def chunk(self, text: str) -> bytes:
-        if any(x in text for x in self.added):
+        if self.marks and self.marks.search(text):
             return self.library(text)
         return b"".join(map(self.piece.__getitem__, self.PIECES.findall(text)))
 
