@@ -15,6 +15,7 @@ whatever their names.
 
 from __future__ import annotations
 
+import codecs
 import json
 import re
 import struct
@@ -22,6 +23,7 @@ import zlib
 from array import array
 from collections.abc import Iterator
 from pathlib import Path
+from string import punctuation
 
 import numpy as np
 import pyarrow as pa
@@ -169,8 +171,6 @@ class ByteLevelEncoder:
 
     #: Places where cutting before every blank would part a run of white space that belongs together.
     RUNS = re.compile(r"\s \s|\s \Z")
-    #: In ASCII text there is no such place without one of these.
-    PAIRS = [f"{c} " for c in " \t\n\x0b\x0c\r\x1c\x1d\x1e\x1f"]
     #: The pre-tokenizer's own pattern.
     PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 
@@ -185,7 +185,7 @@ class ByteLevelEncoder:
         self.tokenizer.no_padding()
         added = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.marks = re.compile("|".join(added)) if added else None
-        self.model, self.symbols = self.tokenizer.model, str.maketrans(dict(enumerate(byte_symbols())))
+        self.model, self.symbols = self.tokenizer.model, "".join(byte_symbols())
         self.blank = byte_symbols()[32]
         settings = json.loads(self.tokenizer.to_str())
         if settings["normalizer"] or settings["pre_tokenizer"] != self.CUTS or settings["model"]["type"] != "BPE":
@@ -199,16 +199,21 @@ class ByteLevelEncoder:
 
     def merged(self, piece: str) -> bytes:
         """One pre-token through the library's model."""
-        return array("I", [t.id for t in self.model.tokenize(piece.encode().decode("latin-1").translate(self.symbols))]).tobytes()
+        return array("I", [t.id for t in self.model.tokenize(codecs.charmap_decode(piece.encode(), "strict", self.symbols)[0])]).tobytes()
 
     def word(self, part: str) -> bytes:
-        """What stands between two blanks, with the first of them. Letters, or letters and a stop, need no pattern."""
+        """What stands between two blanks, with the first of them. Letters, letters and signs, and two such around a line end need no pattern."""
         if part.isalpha():
             if part.isascii():  # only the blank has another symbol than itself
                 return array("I", [t.id for t in self.model.tokenize(self.blank + part)]).tobytes()
             return self.merged(" " + part)
-        if part[-1:] in {".", ","} and part[:-1].isalpha():
-            return self.later[part[:-1]] + self.piece[part[-1]]
+        if not (self.marks and self.marks.search(part)):
+            stem = part.rstrip(punctuation)
+            if stem.isalpha():
+                return self.later[stem] + self.piece[part[len(stem) :]]
+            before, line_end, after = part.partition("\n")
+            if line_end and before and after and before.isprintable() and after.isprintable():
+                return self.later[before] + self.piece[line_end] + self.first[after]
         return self.chunk(" " + part)
 
     def chunk(self, text: str) -> bytes:
@@ -216,9 +221,15 @@ class ByteLevelEncoder:
             return self.library(text)
         return b"".join(map(self.piece.__getitem__, self.PIECES.findall(text)))
 
+    def runs(self, text: str) -> bool:
+        """Whether RUNS is anywhere in a text. Where blanks and line ends are the only white space, that takes two blanks, or one before a line end or at the end."""
+        if text.replace("\n", "").isprintable() and "  " not in text and " \n" not in text and text[-1:] != " ":
+            return False
+        return self.RUNS.search(text) is not None
+
     def encode(self, text: str) -> bytes:
         """The ids as little-endian 32-bit integers."""
-        if (not text.isascii() or any(x in text for x in self.PAIRS)) and self.RUNS.search(text):
+        if self.runs(text):
             return self.chunk(text)
         first, *later = text.split(" ")
         return self.first[first] + b"".join(map(self.later.__getitem__, later))

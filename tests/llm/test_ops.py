@@ -492,3 +492,26 @@ def test_ordinal_on_held_out_rows(spark):
     held = ordinal.score(docs, model).join(ratings.where("doc_id % 3 = 0"), "doc_id").toPandas()
     good, bad = held[held.grade == 2], held[held.grade == 0]
     assert good.kept.mean() > 0.93 and bad.kept.mean() < 0.15 and good.expected_grade.mean() > bad.expected_grade.mean() + 1
+
+
+def test_wavelet_encoder_cuts_signs_and_line_ends_without_the_pattern():
+    """The ids are the library's on odd texts, and words with signs behind them or a line end inside take no pattern of their own."""
+    encoder = wavelet.ByteLevelEncoder(tokenizer("byte_bpe_50k.json"))
+    rng = random.Random(11)
+    bits = ["a", "Été", "ß", "漢字", "9", "'s", "'", ".", ",", "$$$", "%", "\n", "\n\n", " ", "  ", "\t", "\r", "\x0b", "\x1c", "\x85", "\xa0", " ", "　", "​", "́", "<|endoftext|>", "<|", "|>", "\x00", "😀"]
+    texts = ["", " ", "\n", " \n", "\n ", "a ", "a \n", "a\n b", "a.\nB c.$$$", "x 's\n'll it's", "a <|endoftext|> b<|endoftext|>\nc", *("".join(rng.choices(bits, k=rng.randrange(1, 12))) for _ in range(6000))]
+    for text in texts:
+        want = np.array(encoder.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        assert encoder.encode(text) == want, repr(text)
+
+    class Counted:
+        asked = 0
+
+        def findall(self, text):
+            Counted.asked += text not in {"after", "\n", "$$$", "."}
+            return wavelet.ByteLevelEncoder.PIECES.findall(text)
+
+    fresh = wavelet.ByteLevelEncoder(tokenizer("byte_bpe_50k.json"))
+    fresh.PIECES = Counted()
+    fresh.encode("after words$$$ before\nafter")
+    assert Counted.asked == 0
