@@ -43,7 +43,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from ._common import runs, written
+from ._common import parts, runs, written
 
 MIN_LENGTH = 400
 #: Bytes of a passage: 51 words, at the least of 4.9 bytes a word with its blank that ordinary text has.
@@ -235,7 +235,7 @@ def _anchored(docs: DataFrame, min_length: int) -> DataFrame:
     """(gram, id, digest, often) for each text's distinct grams; often: at more than one place in it. A periodic text has one row a gram, however long it is."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in parts(batches):
             out: list[list] = [[], [], [], []]
             for k, x in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()), strict=True):
                 raw = x.as_py()
@@ -292,7 +292,7 @@ def _contexts(docs: DataFrame, lengths: Lengths) -> DataFrame:
     kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.bool_()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in parts(batches):
             rows: list[list] = [[] for _ in names]
 
             def add(*values, rows=rows):
@@ -388,7 +388,7 @@ def _cut(texts: DataFrame, lengths: Lengths, own: list[str], text_out: bool) ->
     numbers = ["n_bytes", "n_removed", "n_spans", "kept_sha256"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in parts(batches):
             sizes, removed, count, digests, cut, kept = [], [], [], [], [], []
             lists, values = batch.column("spans"), batch.column("spans").values
             at = lists.offsets.to_numpy().tolist()
@@ -450,7 +450,7 @@ def repeated_spans(docs: DataFrame, lengths: Lengths, group_rows: int = GROUP_RO
     """(spans, copies) of a table (id, text). spans: id, digest, start, end, earlier for the representative of each text. copies: digest, keeper and count of texts."""
 
     def digested(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in parts(batches):
             raws = [x.as_py() for x in batch.column(1).cast(pa.binary())]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([np.frombuffer(_digest(r), np.int64)[0] for r in raws], pa.int64()), pa.array([len(r) for r in raws], pa.int64())], names=["id", "digest", "n"])
 
@@ -486,12 +486,13 @@ def deduplicated(docs: DataFrame, key: str = "doc_id", text: str = "text", min_l
     facts = copies.join(by_text, "digest", "left").where((F.col("copies") > 1) & (F.col("n") >= lengths.least) | F.col("spans").isNotNull())
 
     def digested(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in parts(batches):
             d = [np.frombuffer(_digest(x.as_py()), np.int64)[0] for x in batch.column("text").cast(pa.binary())]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(d, pa.int64())], names=[*batch.schema.names, "own"])
 
     # Columns go under numbers, so none can clash with those that are added.
-    names = docs.columns if whole_rows else [key]
+    # The text goes once, since `kept_text` takes its place.
+    names = [c for c in docs.columns if c != text] if whole_rows else [key]
     source = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)], F.col(key).cast("long").alias("id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
     tagged = source.mapInArrow(digested, StructType([*source.schema.fields, StructField("own", LongType())]))
     held = tagged.join(facts, tagged["own"] == facts["digest"], "left")
@@ -505,4 +506,5 @@ def deduplicated(docs: DataFrame, key: str = "doc_id", text: str = "text", min_l
         out = _cut(held, lengths, ["id"], bool(passages))
         return out.withColumnsRenamed({"id": key, "kept_text": "text"})
     out = _cut(held, lengths, [f"c{i}" for i in range(len(names))], True)
-    return out.select(*[(F.col("kept_text") if c == text else F.col(f"c{i}")).alias(c) for i, c in enumerate(names)])
+    under = {c: f"c{i}" for i, c in enumerate(names)} | {text: "kept_text"}
+    return out.select(*[F.col(under[c]).alias(c) for c in docs.columns])

@@ -50,6 +50,17 @@ def test_passages_stay_once(stages):
     assert stages["repeated_passages"].where("n_chars <> length(text)").count() == 0
 
 
+def test_a_text_goes_through_the_workers_once(stages):
+    docs = stages["near_duplicates"]
+    names = [*docs.columns, "c0", "kept_text"]
+    docs = docs.withColumns({"c0": F.lit("a"), "kept_text": F.lit("b")}).select(names)
+    out = factors.deduplicated(docs, min_length=factors.PASSAGE, keep="first", whole_rows=True)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert f"c{len(names) - 2}#" in plan and f"c{len(names) - 1}#" not in plan  # columns without the text
+    assert out.columns == names
+    assert {(r.c0, r.kept_text) for r in out.select("c0", "kept_text").distinct().collect()} == {("a", "b")}
+
+
 def odd(spark):
     """Rows of one doc_id with two texts, repeated rows, null keys and texts, empty and blank texts, a long text, and clashing columns."""
     rng = random.Random(3)
