@@ -21,12 +21,13 @@ import re
 import struct
 import zlib
 from array import array
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from pathlib import Path
 from string import punctuation
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
@@ -39,6 +40,8 @@ MAGIC = b"WVMX0001"
 BLOCK = 512
 #: Tokens after which a shard starts its next file; it bounds a writer's and a reader's memory.
 FILE_TOKENS = 1 << 19
+#: Bytes of text whose words are looked up from one list, and words that are looked up at once; a longer text is a list of its own.
+TEXT_BYTES, TABLE_WORDS = 1 << 19, 1 << 16
 #: A single document larger than this still gets a file of its own: texts are never cut.
 NO_ID = -(1 << 63)
 
@@ -166,8 +169,104 @@ def unpack(file: bytes) -> tuple[list[int | None], np.ndarray, WaveletMatrix]:
     return [None if x == NO_ID else x for x in doc_ids.tolist()], lengths, WaveletMatrix(n, planes)
 
 
+class WordTable:
+    """Ids of words of up to 31 bytes, by open addressing in arrays: a key is the word itself, zeros behind it, and its length, so a hit is exact.
+
+    A word takes 40 bytes and its ids, whereas a dict of strings takes some 200 and several cache misses a look-up. When `most` words are held,
+    those that were asked for since they came are kept, and if they are too many, none."""
+
+    WIDTH = 32
+    #: For each length, which of a key's bytes belong to the word.
+    MASKS = np.frombuffer(b"".join(b"\xff" * n + b"\0" * (32 - n) for n in range(32)), np.uint64).reshape(32, 4)
+    #: For each length, the last byte: length + 1, so that no key is all zeros.
+    ENDS = np.frombuffer(b"".join(b"\0" * 31 + bytes([n + 1]) for n in range(32)), np.uint64).reshape(32, 4)[:, 3].copy()
+    ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xBF58476D1CE4E5B9)]
+
+    def __init__(self, bits: int = 21):
+        self.bits, self.most = bits, 1 << (bits - 1)
+        self.clear()
+
+    def clear(self) -> None:
+        self.keys = np.zeros((1 << self.bits, 4), np.uint64)
+        self.at = np.zeros(1 << self.bits, np.int64)  # 64 times the place in `ids`, and how many
+        self.used = np.zeros(1 << self.bits, bool)
+        self.ids, self.filled, self.n = np.zeros(1 << 12, np.uint32), 0, 0
+
+    def keys_of(self, text: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """text: bytes, with WIDTH more behind; sizes: 31 at most."""
+        view = np.ndarray((len(text) - self.WIDTH + 1,), f"V{self.WIDTH}", text, 0, (1,))
+        keys = view[starts].view(np.uint64).reshape(-1, 4)
+        keys &= self.MASKS.take(sizes, axis=0)
+        keys[:, 3] |= self.ENDS.take(sizes)
+        return keys
+
+    def _slots(self, keys: np.ndarray) -> np.ndarray:
+        h = keys[:, 0] * self.ODD[0]
+        for k in (1, 2, 3):
+            h += keys[:, k] * self.ODD[k]
+        h ^= h >> np.uint64(29)
+        h *= self.ODD[4]
+        return (h >> np.uint64(64 - self.bits)).view(np.int64)
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """The slot of each key, -1 where it is not held."""
+        slots, mask = self._slots(keys), len(self.keys) - 1
+        here, tried, tried_slots, tried_keys = np.empty(len(keys), np.int64), None, slots, keys
+        while len(tried_slots):
+            held = self.keys.take(tried_slots, axis=0)
+            same = held[:, 0] == tried_keys[:, 0]
+            for k in (1, 2, 3):
+                same &= held[:, k] == tried_keys[:, k]
+            found = np.where(same, tried_slots, -1)
+            if tried is None:
+                here = found
+            else:
+                here[tried] = found
+            on = np.flatnonzero(~same & (held[:, 3] != 0))
+            tried = on if tried is None else tried[on]
+            tried_slots, tried_keys = (tried_slots[on] + 1) & mask, tried_keys[on]
+        return here
+
+    def add(self, keys: np.ndarray, places: np.ndarray) -> None:
+        """Keys that are not held, each once; places: what goes into `at`."""
+        slots, mask, left = self._slots(keys), len(self.keys) - 1, np.arange(len(keys))
+        while len(left):
+            s = slots[left]
+            free = self.keys[s, 3] == 0
+            wish, s = left[free], s[free]
+            self.at[s] = wish  # of several keys at a free slot the last one gets it
+            got = self.at[s] == wish
+            self.keys[s[got]], self.at[s[got]] = keys[wish[got]], places[wish[got]]
+            left = np.concatenate([left[~free], wish[~got]])
+            slots[left] = (slots[left] + 1) & mask
+        self.n += len(keys)
+
+    def put(self, ids: np.ndarray) -> int:
+        """Writes ids behind those that are held, and returns their place. They stay if `filled` is moved."""
+        if self.filled + len(ids) > len(self.ids):
+            self.ids = np.concatenate([self.ids, np.zeros(max(len(self.ids), len(ids)), np.uint32)])
+        self.ids[self.filled : self.filled + len(ids)] = ids
+        return self.filled
+
+    def of(self, starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        """The ids at these places, one after the other."""
+        ends = np.cumsum(counts)
+        return self.ids.take(np.repeat(starts - ends + counts, counts) + np.arange(ends[-1] if len(ends) else 0))
+
+    def room(self, words: int) -> None:
+        if self.n + words <= self.most:
+            return
+        stays = np.flatnonzero(self.used)
+        keys, starts, counts = self.keys[stays], self.at[stays] >> 6, self.at[stays] & 63
+        ids = self.of(starts, counts)
+        self.clear()
+        if 2 * len(keys) <= self.most:
+            self.filled = self.put(ids) + len(ids)
+            self.add(keys, (np.cumsum(counts) - counts) << 6 | counts)
+
+
 class ByteLevelEncoder:
-    """The tokenizers library behind two memos: texts are cut where its own pre-tokenizer always cuts, and each distinct cut is encoded once."""
+    """The tokenizers library behind memos: texts are cut where its own pre-tokenizer always cuts, and each distinct cut is encoded once."""
 
     #: Places where cutting before every blank would part a run of white space that belongs together.
     RUNS = re.compile(r"\s \s|\s \Z")
@@ -192,7 +291,8 @@ class ByteLevelEncoder:
             raise ValueError("a tokenizer that cuts its texts in another way")
         self.piece = Memo(self.merged, 60_000)
         self.first = Memo(self.chunk, 20_000)
-        self.later = Memo(self.word, 900_000)
+        self.later = Memo(self.word, 300_000)
+        self.table = WordTable()
 
     def library(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
@@ -234,6 +334,76 @@ class ByteLevelEncoder:
         first, *later = text.split(" ")
         return self.first[first] + b"".join(map(self.later.__getitem__, later))
 
+    def each(self, column: pa.Array) -> Iterator[bytes]:
+        """What `encode` gives, for every text of a column, null for an empty one; words behind a blank are looked up many at once."""
+        if not len(column):
+            return
+        column = pc.fill_null(column.cast(pa.large_string()), "")
+        ends = np.frombuffer(column.buffers()[1], np.int64, len(column) + 1, 8 * column.offset)
+        a = 0
+        while a < len(column):
+            b = max(a + 1, int(np.searchsorted(ends, ends[a] + TEXT_BYTES, "right")) - 1)
+            yield from self._group(column.slice(a, b - a), column.buffers()[2], ends[a : b + 1])
+            a = b
+
+    def _group(self, column: pa.Array, data: pa.Buffer | None, ends: np.ndarray) -> Iterator[bytes]:
+        texts = column.to_pylist()
+        odd = np.array([self.runs(x) for x in texts])
+        raw = data.slice(int(ends[0]), int(ends[-1] - ends[0])).to_pybytes() if data else b""
+        text = np.frombuffer(raw + bytes(WordTable.WIDTH), np.uint8)
+        blanks, ends = np.flatnonzero(text[: len(raw)] == 32), ends[1:] - ends[0]
+        upto = np.searchsorted(blanks, ends)
+        words = np.diff(upto, prepend=0)
+        starts, stops = blanks + 1, np.append(blanks[1:], 0)[: len(blanks)]
+        stops[upto[words > 0] - 1] = ends[words > 0]
+        if odd.any():
+            kept = np.repeat(~odd, words)
+            starts, stops, words = starts[kept], stops[kept], np.where(odd, 0, words)
+        found = [self._words(raw, text, starts[i : i + TABLE_WORDS], stops[i : i + TABLE_WORDS]) for i in range(0, len(starts), TABLE_WORDS)]
+        ids = b"".join(x.tobytes() for x, _ in found)
+        cuts = 4 * np.concatenate([[0], *(n for _, n in found)]).cumsum()[np.append(0, words.cumsum())]
+        for x, is_odd, a, b in zip(texts, odd.tolist(), cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+            yield self.encode(x) if is_odd else self.first[x.partition(" ")[0]] + ids[a:b]
+
+    def _new(self, words: Iterable[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of words as `word` gives them, in one array, and how many each has."""
+        flat, counts, tokenize, blank = array("I"), [], self.model.tokenize, self.blank
+        for w in words:
+            if w.isalpha():  # ASCII
+                ids = [t.id for t in tokenize(blank + w.decode())]
+                flat.extend(ids)
+                counts.append(len(ids))
+            else:
+                ids = self.word(w.decode())
+                flat.frombytes(ids)
+                counts.append(len(ids) // 4)
+        return np.frombuffer(flat, np.uint32) if flat else np.empty(0, np.uint32), np.array(counts, np.int64)
+
+    def _words(self, raw: bytes, text: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of words that follow a blank, and how many each has."""
+        table, sizes = self.table, stops - starts
+        table.room(len(starts))
+        short = sizes < WordTable.WIDTH
+        keys = table.keys_of(text, starts, np.where(short, sizes, 0))
+        slots = np.where(short, table.find(keys), -1)
+        table.used[slots[slots >= 0]] = True
+        missed = np.flatnonzero((slots < 0) & short)
+        if len(missed):
+            new = dict(zip((raw[a:b] for a, b in zip(starts[missed].tolist(), stops[missed].tolist(), strict=True)), missed.tolist(), strict=True))
+            flat, counts = self._new(new)
+            at = table.put(flat)
+            table.filled = at + len(flat)
+            table.add(keys[list(new.values())], (at + counts.cumsum() - counts) << 6 | counts)
+            slots[missed] = table.find(keys[missed])
+        places = table.at.take(slots, mode="wrap")
+        begin, count = places >> 6, places & 63
+        long = np.flatnonzero(~short)
+        if len(long):
+            got = [self.later[raw[a:b].decode()] for a, b in zip(starts[long].tolist(), stops[long].tolist(), strict=True)]
+            count[long] = [len(x) // 4 for x in got]
+            begin[long] = table.put(np.frombuffer(b"".join(got), "<u4")) + count[long].cumsum() - count[long]
+        return table.of(begin, count), count
+
 
 ENCODERS = Memo(ByteLevelEncoder, 4)
 
@@ -250,11 +420,11 @@ def write_files(docs: DataFrame, tokenizer: str, end_id: int = 0, text: str = "t
             return pa.RecordBatch.from_pydict({"part": pa.array([part], pa.int32()), "seq": pa.array([seq], pa.int32()), "n_tokens": pa.array([size], pa.int64()), "file": pa.array([blob], pa.binary())})
 
         for batch in batches:
-            for k, x in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            for k, x in zip(batch.column(0).to_pylist(), encoder.each(batch.column(1)), strict=True):
                 if size >= file_tokens:
                     yield file()
                     seq, doc_ids, lengths, ids, size = seq + 1, [], [], [], 0
-                got = encoder.encode(x.as_py() or "") + end
+                got = x + end
                 doc_ids.append(k)
                 lengths.append(len(got) // 4)
                 ids.append(got)

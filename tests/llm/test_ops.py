@@ -494,6 +494,40 @@ def test_ordinal_on_held_out_rows(spark):
     assert good.kept.mean() > 0.93 and bad.kept.mean() < 0.15 and good.expected_grade.mean() > bad.expected_grade.mean() + 1
 
 
+def test_wavelet_words_are_looked_up_many_at_once(monkeypatch):
+    import pyarrow as pa
+    from tokenizers import Tokenizer
+
+    rng = random.Random(5)
+    words = ["".join(rng.choices("abcdeéßж漢'1.,\n#<|", k=rng.randrange(9))) for _ in range(6_000)] + ["é" * n for n in range(14, 18)] + ["a" * n for n in range(29, 35)] + ["a\0", "a\0\0", "\0", "<|endoftext|>"]
+    texts = [" ".join(rng.choices(words, k=rng.randrange(60))) for _ in range(600)] + [None, "", " ", "a ", " a", "a  b", "a   b \n c", "x" * 90 + " b " + "y" * 31, " ".join(words)]
+    texts += texts[:200]
+    library = Tokenizer.from_file(tokenizer("byte_bpe_50k.json"))
+    expected = [np.array(library.encode(x or "", add_special_tokens=False).ids, "<u4").tobytes() for x in texts]
+    for bits, bound, size in ((21, 1 << 16, 1 << 19), (12, 500, 3_000), (9, 100, 1)):  # the smaller tables have to forget
+        monkeypatch.setattr(wavelet, "TABLE_WORDS", bound)
+        monkeypatch.setattr(wavelet, "TEXT_BYTES", size)
+        encoder = wavelet.ByteLevelEncoder(tokenizer("byte_bpe_50k.json"))
+        encoder.table = wavelet.WordTable(bits)
+        column = pa.array(["cut off", *texts, None])[1:-1]
+        assert list(encoder.each(column)) == expected
+        assert encoder.table.n <= encoder.table.most
+        assert list(encoder.each(column[250:300].cast(pa.large_string()))) == expected[250:300] and list(encoder.each(column[:0])) == []
+    table = wavelet.WordTable(4)  # words that are asked for stay when room is made
+    text = np.frombuffer(bytes(range(97, 123)) + bytes(32), np.uint8)
+    keys = table.keys_of(text, np.arange(8), np.full(8, 3))
+    table.put(np.arange(40, dtype=np.uint32))
+    table.filled = 40
+    table.add(keys, np.arange(8) * 5 << 6 | 5)
+    held = table.find(keys)
+    assert (held >= 0).all() and len(set(held.tolist())) == 8
+    table.used[held[2:4]] = True
+    table.room(1)
+    assert (table.find(keys) >= 0).tolist() == [False, False, True, True, False, False, False, False]
+    places = table.at[table.find(keys[2:4])]
+    assert table.of(places >> 6, places & 63).tolist() == list(range(10, 20)) and table.n == 2
+
+
 def test_wavelet_encoder_cuts_signs_and_line_ends_without_the_pattern():
     """The ids are the library's on odd texts, and words with signs behind them or a line end inside take no pattern of their own."""
     encoder = wavelet.ByteLevelEncoder(tokenizer("byte_bpe_50k.json"))
