@@ -21,7 +21,8 @@ import re
 import struct
 import zlib
 from array import array
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
+from itertools import compress
 from pathlib import Path
 from string import punctuation
 
@@ -40,7 +41,7 @@ MAGIC = b"WVMX0001"
 BLOCK = 512
 #: Tokens after which a shard starts its next file; it bounds a writer's and a reader's memory.
 FILE_TOKENS = 1 << 19
-#: Bytes of text whose words are looked up from one list, and words that are looked up at once; a longer text is a list of its own.
+#: Bytes of text whose units (see `cuts`) are looked up from one list, and units that are looked up at once; a longer text is a list of its own.
 TEXT_BYTES, TABLE_WORDS = 1 << 19, 1 << 16
 #: A single document larger than this still gets a file of its own: texts are never cut.
 NO_ID = -(1 << 63)
@@ -170,7 +171,7 @@ def unpack(file: bytes) -> tuple[list[int | None], np.ndarray, WaveletMatrix]:
 
 
 class WordTable:
-    """Ids of words of up to 31 bytes, by open addressing in arrays: a key is the word itself, zeros behind it, and its length, so a hit is exact.
+    """Ids of words, as units are called here, of up to 31 bytes, by open addressing in arrays: a key is the word itself, zeros behind it, and its length, so a hit is exact.
 
     Few places in memory are touched for a word, where a dict of strings touches its slot, its entry, the key and the value. When `most` words are held,
     those that were asked for since they came are kept, and if they are too many, none."""
@@ -265,6 +266,39 @@ class WordTable:
             self.add(keys, (np.cumsum(counts) - counts) << 6 | counts)
 
 
+#: Kinds of bytes: parts of letters of one or two bytes, other ASCII signs, blanks, line ends, controls; 0 is all the rest.
+LETTER, SIGN, BLANK, LINE_END, CONTROL = 1, 2, 3, 4, 5
+KINDS = bytes(BLANK if i == 32 else LINE_END if i == 10 else 0 if i > 127 else CONTROL if i < 32 else LETTER if chr(i).isalpha() else SIGN for i in range(256))
+#: For each kind, whether it is part of something that is surely no white space.
+PLAIN = np.array([False, True, True, False, False, False])
+#: For each code point of two bytes at most, whether it is a letter.
+LETTERS = np.array([regex.match(r"\p{L}", chr(i)) is not None for i in range(1 << 11)])
+
+
+def byte_kinds(raw: bytes) -> np.ndarray:
+    """The kind of each byte of texts in UTF-8."""
+    kinds, text = np.frombuffer(bytearray(raw.translate(KINDS)), np.uint8), np.frombuffer(raw, np.uint8)
+    lead = np.flatnonzero(text[:-1] - np.uint8(0xC2) < 30)
+    second = text[lead + 1]
+    lead = lead[LETTERS.take((text[lead] & 31).astype(np.int64) << 6 | second & 63) & (second >> 6 == 2)]
+    kinds[lead] = kinds[lead + 1] = LETTER
+    return kinds
+
+
+def cuts(kinds: np.ndarray, begins: np.ndarray) -> np.ndarray:
+    """Where units begin: at a text, at a blank, at what is ASCII and no letter behind a letter, and behind a line end between letters or signs.
+
+    The pre-tokenizer cuts there too, and treats both sides as if they stood alone, where no white space is longer than RUNS allows and no added
+    token is around: letters end where another kind begins, a blank goes with what follows, and a single line end goes with nothing."""
+    cut = kinds == BLANK
+    if len(kinds) > 1:
+        cut[1:] |= (kinds[:-1] == LETTER) & (kinds[1:] > LETTER)
+        behind = np.flatnonzero(kinds[1:-1] == LINE_END) + 2
+        cut[behind[PLAIN.take(kinds[behind - 2]) & PLAIN.take(kinds[behind])]] = True
+    cut[begins] = True
+    return np.flatnonzero(cut)
+
+
 class ByteLevelEncoder:
     """The tokenizers library behind memos: texts are cut where its own pre-tokenizer always cuts, and each distinct cut is encoded once."""
 
@@ -282,8 +316,8 @@ class ByteLevelEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        added = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.marks = re.compile("|".join(added)) if added else None
+        added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.marks, self.added = re.compile("|".join(map(re.escape, added))) if added else None, [x.encode() for x in added]
         self.model, self.symbols = self.tokenizer.model, "".join(byte_symbols())
         self.blank = byte_symbols()[32]
         settings = json.loads(self.tokenizer.to_str())
@@ -335,7 +369,7 @@ class ByteLevelEncoder:
         return self.first[first] + b"".join(map(self.later.__getitem__, later))
 
     def each(self, column: pa.Array) -> Iterator[bytes]:
-        """What `encode` gives, for every text of a column, null for an empty one; words behind a blank are looked up many at once."""
+        """What `encode` gives, for every text of a column, null for an empty one; the units of many texts are looked up at once."""
         if not len(column):
             return
         column = pc.fill_null(column.cast(pa.large_string()), "")
@@ -343,44 +377,57 @@ class ByteLevelEncoder:
         a = 0
         while a < len(column):
             b = max(a + 1, int(np.searchsorted(ends, ends[a] + TEXT_BYTES, "right")) - 1)
-            yield from self._group(column.slice(a, b - a), column.buffers()[2], ends[a : b + 1])
+            yield from self._group(column.buffers()[2], ends[a : b + 1])
             a = b
 
-    def _group(self, column: pa.Array, data: pa.Buffer | None, ends: np.ndarray) -> Iterator[bytes]:
-        texts = column.to_pylist()
-        odd = np.array([self.runs(x) for x in texts])
+    def _group(self, data: pa.Buffer | None, ends: np.ndarray) -> Iterator[bytes]:
         raw = data.slice(int(ends[0]), int(ends[-1] - ends[0])).to_pybytes() if data else b""
-        text = np.frombuffer(raw + bytes(WordTable.WIDTH), np.uint8)
-        blanks, ends = np.flatnonzero(text[: len(raw)] == 32), ends[1:] - ends[0]
-        upto = np.searchsorted(blanks, ends)
-        words = np.diff(upto, prepend=0)
-        starts, stops = blanks + 1, np.append(blanks[1:], 0)[: len(blanks)]
-        stops[upto[words > 0] - 1] = ends[words > 0]
+        begins, ends = ends[:-1] - ends[0], ends[1:] - ends[0]
+        kinds = byte_kinds(raw)
+        odd = self._odd(raw, kinds, begins, ends)
+        starts = cuts(kinds, begins[begins < ends])
+        stops = np.append(starts[1:], len(raw))[: len(starts)]
+        units = np.diff(np.searchsorted(starts, ends), prepend=0)
         if odd.any():
-            kept = np.repeat(~odd, words)
-            starts, stops, words = starts[kept], stops[kept], np.where(odd, 0, words)
-        found = [self._words(raw, text, starts[i : i + TABLE_WORDS], stops[i : i + TABLE_WORDS]) for i in range(0, len(starts), TABLE_WORDS)]
+            kept = np.repeat(~odd, units)
+            starts, stops, units = starts[kept], stops[kept], np.where(odd, 0, units)
+        text = np.frombuffer(raw + bytes(WordTable.WIDTH), np.uint8)
+        found = [self._units(raw, text, kinds, starts[i : i + TABLE_WORDS], stops[i : i + TABLE_WORDS]) for i in range(0, len(starts), TABLE_WORDS)]
         ids = b"".join(x.tobytes() for x, _ in found)
-        cuts = 4 * np.concatenate([[0], *(n for _, n in found)]).cumsum()[np.append(0, words.cumsum())]
-        for x, is_odd, a, b in zip(texts, odd.tolist(), cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
-            yield self.encode(x) if is_odd else self.first[x.partition(" ")[0]] + ids[a:b]
-
-    def _new(self, words: Iterable[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of words as `word` gives them, in one array, and how many each has."""
-        flat, counts, tokenize, blank = array("I"), [], self.model.tokenize, self.blank
-        for w in words:
-            if w.isalpha():  # ASCII
-                ids = [t.id for t in tokenize(blank + w.decode())]
-                flat.extend(ids)
-                counts.append(len(ids))
-            else:
-                ids = self.word(w.decode())
-                flat.frombytes(ids)
-                counts.append(len(ids) // 4)
+        at = 4 * np.concatenate([[0], *(n for _, n in found)]).cumsum()[np.append(0, units.cumsum())]
+        for is_odd, a, b, x, y in zip(odd.tolist(), at[:-1].tolist(), at[1:].tolist(), begins.tolist(), ends.tolist(), strict=True):
+            yield self.encode(raw[x:y].decode()) if is_odd else ids[a:b]
+
+    def _odd(self, raw: bytes, kinds: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Which texts hold RUNS or an added token, and so are not cut by `cuts`. Few have to be searched: a run needs a blank behind what may be white space."""
+        odd, asked = np.zeros(len(ends), bool), np.zeros(len(ends), bool)
+        blanks = np.flatnonzero((kinds[1:] == BLANK) & ~PLAIN.take(kinds[:-1])) + 1
+        asked[np.searchsorted(ends, blanks, "right")] = True
+        for i in np.flatnonzero(asked).tolist():
+            odd[i] = self.runs(raw[begins[i] : ends[i]].decode())
+        for mark in self.added:
+            at = raw.find(mark)
+            while at >= 0:  # found across two texts it makes one of them odd, which changes no id
+                i = int(np.searchsorted(ends, at, "right"))
+                odd[i] = True
+                at = raw.find(mark, max(at + 1, int(ends[i])))
+        return odd
+
+    def _new(self, letters: list[bytes], others: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of units in one array, and how many each has; letters: units of one pre-token, letters with or without a blank before them."""
+        flat, counts, tokenize = array("I"), [], self.model.tokenize
+        for w in codecs.charmap_decode(b"\n".join(letters), "strict", self.symbols)[0].split(self.symbols[10]) if letters else ():
+            ids = [t.id for t in tokenize(w)]
+            flat.extend(ids)
+            counts.append(len(ids))
+        for w in others:
+            ids = self.chunk(w.decode())
+            flat.frombytes(ids)
+            counts.append(len(ids) // 4)
         return np.frombuffer(flat, np.uint32) if flat else np.empty(0, np.uint32), np.array(counts, np.int64)
 
-    def _words(self, raw: bytes, text: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of words that follow a blank, and how many each has."""
+    def _units(self, raw: bytes, text: np.ndarray, kinds: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of units, and how many each has."""
         table, sizes = self.table, stops - starts
         table.room(len(starts))
         short = sizes < WordTable.WIDTH
@@ -390,16 +437,19 @@ class ByteLevelEncoder:
         missed = np.flatnonzero((slots < 0) & short)
         if len(missed):
             new = dict(zip((raw[a:b] for a, b in zip(starts[missed].tolist(), stops[missed].tolist(), strict=True)), missed.tolist(), strict=True))
-            flat, counts = self._new(new)
+            which = np.array(list(new.values()))
+            blank, signs = kinds[starts[which]] == BLANK, np.append(0, (kinds != LETTER).cumsum(dtype=np.int32))
+            plain = (signs[stops[which]] - signs[starts[which]] == blank) & (sizes[which] > blank)
+            flat, counts = self._new(list(compress(new, plain.tolist())), list(compress(new, (~plain).tolist())))
             at = table.put(flat)
             table.filled = at + len(flat)
-            table.add(keys[list(new.values())], (at + counts.cumsum() - counts) << 6 | counts)
+            table.add(keys[np.concatenate([which[plain], which[~plain]])], (at + counts.cumsum() - counts) << 6 | counts)
             slots[missed] = table.find(keys[missed])
         places = table.at.take(slots, mode="wrap")
         begin, count = places >> 6, places & 63
         long = np.flatnonzero(~short)
         if len(long):
-            got = [self.later[raw[a:b].decode()] for a, b in zip(starts[long].tolist(), stops[long].tolist(), strict=True)]
+            got = [self.first[raw[a:b].decode()] for a, b in zip(starts[long].tolist(), stops[long].tolist(), strict=True)]
             count[long] = [len(x) // 4 for x in got]
             begin[long] = table.put(np.frombuffer(b"".join(got), "<u4")) + count[long].cumsum() - count[long]
         return table.of(begin, count), count

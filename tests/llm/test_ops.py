@@ -549,3 +549,31 @@ def test_wavelet_encoder_cuts_signs_and_line_ends_without_the_pattern():
     fresh.PIECES = Counted()
     fresh.encode("after words$$$ before\nafter")
     assert Counted.asked == 0
+
+
+def test_wavelet_units_are_cut_where_the_library_cuts_and_asked_for_once():
+    """The ids are the library's for every letter of two bytes at most and for odd bytes at cuts, and a stem is put to the model once, whatever signs and line ends follow it."""
+    import pyarrow as pa
+
+    encoder = wavelet.ByteLevelEncoder(tokenizer("byte_bpe_50k.json"))
+    rng = random.Random(13)
+    bits = ["a", "bc", "é", "жx", "ö.", "漢", "9", "'s", "'", ".", ",", "-", "\n", "\n", " ", " ", "  ", "\t", "\r", "\x1c", "\x7f", "\x85", "\xa0", "\xad", "×", "ʹ", "́", " ", "　", "<|endoftext|>", "<|endof", "text|>", "<|", "\0", "😀", "x" * 31]
+    texts = [f"{c}a{c}.b {c}, {c}\n{c}c\n{c}d.\n{c}{c} \n{c}" for c in map(chr, range(1 << 11))]
+    texts += ["".join(rng.choices(bits, k=rng.randrange(14))) for _ in range(20_000)] + ["<|endof", "text|> a.b", "a\n", "b", "\n", "\nc", " ", " d", "e "]
+    want = [np.array(encoder.tokenizer.encode(x, add_special_tokens=False).ids, "<u4").tobytes() for x in texts]
+    for x, w, got in zip(texts, want, encoder.each(pa.array(texts)), strict=True):
+        assert got == w, repr(x)
+
+    class Counted:
+        asked = []
+
+        def tokenize(self, unit):
+            Counted.asked.append(unit)
+            return encoder.model.tokenize(unit)
+
+    fresh = wavelet.ByteLevelEncoder(tokenizer("byte_bpe_50k.json"))
+    fresh.model = Counted()
+    texts = ["so qwzx qwzx, qwzx. qwzx\nqwzx; qwzx.\nqwzx:", "and qwzé qwzé, qwzé. qwzé\nqwzé; qwzé.\nqwzé:"]
+    want = [np.array(encoder.tokenizer.encode(x, add_special_tokens=False).ids, "<u4").tobytes() for x in texts]
+    assert list(fresh.each(pa.array(texts))) == want
+    assert sum("qwz" in x for x in Counted.asked) == 4  # each stem, with and without a blank before it
