@@ -120,6 +120,21 @@ def test_jaccard_of_repeated_rows_and_of_one_doc_id_on_two_texts(spark):
         assert got == Counter({k: n * times for k, n in Counter((i, len(s), component[i]) for i, s in sets).items()})
 
 
+def test_jaccard_of_null_doc_ids(spark):
+    rng = random.Random(9)
+    a, b, c, d, e = ([rng.choice(WORDS) for _ in range(60)] for _ in range(5))
+    far, farther = a[:-6], a[6:]  # each links with a, but not with the other
+    rows = [(8, far), (None, a), (7, farther), (None, a), (-5, b), (None, b), (None, near(rng, b, 1)), (None, c), (None, c[:-1]), (None, d), (9, e), (9, c[1:] + d), (None, e[:-1]), (None, [])]
+    rows += [(None, ["one"]), (3, ["one"]), (None, ["two"])]
+    want = [(8, 50, 7), (None, 56, 7), (7, 50, 7), (None, 56, 7), (-5, 56, -5), (None, 56, -5), (None, 0, -5), (None, 56, None), (None, 55, None), (None, 56, None), (9, 56, 9), (9, 115, 9), (None, 55, 9), (None, 0, None), (None, 1, 3), (3, 1, 3), (None, 1, None)]
+    want[6] = (None, len({tuple(rows[6][1][i : i + 5]) for i in range(56)}), -5)
+    docs = spark.createDataFrame([(i, " ".join(w)) for i, w in rows], "doc_id bigint, text string")
+    for table, times in ((docs, 1), (docs.unionAll(docs), 2)):
+        for tokens in (jaccard.BLOCK_TOKENS, 100):
+            got = Counter((r.doc_id, r.n_shingles, r.component_id) for r in jaccard.similar(table, block_tokens=tokens)[0].collect())
+            assert got == Counter({k: n * times for k, n in Counter(want).items()})
+
+
 def test_signature_tree_loses_no_pair():
     rng = np.random.default_rng(5)
     sets = []
